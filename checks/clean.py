@@ -164,7 +164,9 @@ def feature_sets(spark, sf_dir):
     rows = demo.risk_samples(spark, sf_dir, "id", "amt", "bal", "seg")
     wanted = ["seg", "ghost", "amt", "bal"]
     known = joins.present_features(spark, wanted, rows.columns)
-    return known.join(rows.agg(F.count(F.lit(1)).alias("n_rows")))
+    flat = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    sizes = flat.unpivot([], ["id", "amt", "bal", "seg"], "feature", "value").groupBy("feature")
+    return sizes.agg(F.count(F.lit(1)).alias("n_rows")).join(known, "feature", "left_semi")
 
 
 @query("parse_dates", with_risk(body="""

@@ -132,15 +132,15 @@ def capped_woe(df: DataFrame, columns: Mapping[str, Column], label: str = "label
     )
     # Shares are taken over all labelled rows, also those where a feature is NULL.
     totals = df.agg(
-        F.count_if(F.col(label) == event).alias("all_events"),
-        F.count_if(F.col(label) != event).alias("all_others"),
-    )
+        F.count_if(F.col(label) == event).alias("events"), F.count_if(F.col(label) != event).alias("others")
+    ).first()
+    if not totals.events or not totals.others:
+        raise ValueError("label must take two values")
     return (
-        counts.join(F.broadcast(totals))  # one row
-        .select(
+        counts.select(
             "feature", "category", "n", "events",
-            (F.col("events") / F.col("all_events")).alias("event_share"),
-            ((F.col("n") - F.col("events")) / F.col("all_others")).alias("other_share"),
+            (F.col("events") / F.lit(totals.events)).alias("event_share"),
+            ((F.col("n") - F.col("events")) / F.lit(totals.others)).alias("other_share"),
         )
         .withColumn("woe", woe_capped(F.col("event_share"), F.col("other_share")))
         .withColumn("iv_part", (F.col("event_share") - F.col("other_share")) * F.col("woe"))
