@@ -124,3 +124,10 @@ def add_bins(
         bins = len(edges[c]) - 1
         out.append(F.when((place >= 1) & (place <= bins), place - 1).alias(c))
     return counted.select(*out)
+
+
+def with_bin(
+    df: DataFrame, column: str, edges: Sequence[float], out: str, closed: str = "right", include_lowest: bool = False
+) -> DataFrame:
+    """Adds the zero-based bin of one column, NULL outside the edges."""
+    return add_bins(df, {out: F.col(f"`{column}`").cast("double")}, {out: edges}, closed, include_lowest)

@@ -32,6 +32,13 @@ def to_points(prob: Column, p0: float = 410.0, pdo: float = 91.0, theta: float =
     """
     b = pdo / math.log(0.5)
     a = p0 + b * math.log(theta)
-    p = F.when(prob == 1, F.lit(1e-8)).when(prob == 0, F.lit(0.99999999)).otherwise(1 - prob)
-    raw = F.rint(F.lit(a) - F.lit(b) * F.ln(p / (1 - p)))
-    return F.least(F.greatest(raw, F.lit(0.0)), F.lit(1000.0)) + F.lit(0.0)
+    low, high = 1e-8, 0.99999999
+    good = 1 - prob
+    # A probability so small that 1 - prob is 1 counts as 0, so the odds never divide by zero.
+    odds = (
+        F.when(good == 0, F.lit(low / (1 - low)))
+        .when(good == 1, F.lit(high / (1 - high)))
+        .otherwise(good / (1 - good))
+    )
+    raw = F.rint(F.lit(a) - F.lit(b) * F.ln(odds))
+    return F.when(prob.isNotNull(), F.least(F.greatest(raw, F.lit(0.0)), F.lit(1000.0)) + F.lit(0.0))

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.bins import add_bins, bin_index, with_infinite_ends
+from riskweave.functions.bins import add_bins, with_bin, with_infinite_ends
 from riskweave.functions.cleaning import as_double
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.spec import FIRST_REAL, IV_FIRST_EDGES, MISSING_CODE, PSI_FIRST_EDGE, PSI_REAL_ABOVE, SENTINELS
@@ -134,12 +134,12 @@ def equal_width_bands(df: DataFrame, column: str, group: int = 11, first: float
 
 def bin_by_points(df: DataFrame, column: str, points: Sequence[float], out: str = "bin_idx") -> DataFrame:
     """Right-closed bins between cut points with open ends."""
-    return df.withColumn(out, bin_index(column, with_infinite_ends(points), include_lowest=True))
+    return with_bin(df, column, with_infinite_ends(points), out, include_lowest=True)
 
 
 def bin_by_edges(df: DataFrame, column: str, edges: Sequence[float], out: str = "bin_idx") -> DataFrame:
     """Right-closed bins between given edges, lowest edge included, no open ends."""
-    return df.withColumn(out, bin_index(column, edges, include_lowest=True))
+    return with_bin(df, column, edges, out, include_lowest=True)
 
 
 def five_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:

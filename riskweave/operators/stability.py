@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.bins import bin_index
+from riskweave.functions.bins import with_bin
 from riskweave.functions.cleaning import as_double
 from riskweave.operators.binning import EQUAL_FREQUENCY, bin_counts, edges_table, finish_edges, psi_edges, quantile_edges, widened_edges
 from riskweave.operators.quantiles import exact_quantiles
@@ -103,7 +103,8 @@ class ScoreBins:
 def psi_fit(expected: DataFrame, column: str, q: int = 10, range_ratio: float = 0.2) -> ScoreBins:
     """Decile edges of the expected score, widened at both ends, and the counts between them."""
     edges = widened_edges(quantile_edges(expected, {"x": F.col(column)}, q)["x"], range_ratio)
-    rows = expected.select(bin_index(column, edges, include_lowest=True).alias("b")).groupBy("b").count().collect()
+    binned = with_bin(expected.select(column), column, edges, "b", include_lowest=True)
+    rows = binned.groupBy("b").count().collect()
     found = {r.b: r["count"] for r in rows}
     return ScoreBins(tuple(edges), tuple(found.get(i, 0) for i in range(len(edges) - 1)))
 
@@ -117,7 +118,7 @@ def psi_bins(fitted: ScoreBins, actual: DataFrame, column: str, smooth: float =
     ]
     bins = spark.createDataFrame(rows, "bin_idx int, lo double, hi double, expected double")
     counts = (
-        actual.select(bin_index(column, fitted.edges, include_lowest=True).alias("bin_idx"))
+        with_bin(actual.select(column), column, fitted.edges, "bin_idx", include_lowest=True)
         .groupBy("bin_idx")
         .agg(F.count(F.lit(1)).alias("actual"))
     )
@@ -137,9 +138,8 @@ def psi_bins(fitted: ScoreBins, actual: DataFrame, column: str, smooth: float =
 
 def psi_transform(fitted: ScoreBins, actual: DataFrame, column: str) -> DataFrame:
     """One row: PSI of the score and the share of actual rows outside the bins."""
-    flags = actual.select(
-        F.col(column).isNotNull().alias("known"), bin_index(column, fitted.edges, include_lowest=True).isNull().alias("outside")
-    ).agg(F.avg(F.col("outside").cast("int")).alias("extreme_ratio")).first()
+    binned = with_bin(actual.select(column), column, fitted.edges, "b", include_lowest=True)
+    flags = binned.agg(F.avg(F.col("b").isNull().cast("int")).alias("extreme_ratio")).first()
     return psi_bins(fitted, actual, column).agg(F.sum("psi_part").alias("psi")).withColumn(
         "extreme_ratio", F.lit(flags.extreme_ratio)
     )
