@@ -1 +1,195 @@
-"""Pending."""
+"""Feature statistics, correlation, selection, importances and rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.common import SENTINEL_LIST, long_numeric, query, union, with_risk
+from checks.profile import rounded
+from riskweave.operators import importance, regression, rules, select
+from riskweave.operators.woe import binary_rows
+from riskweave.sources import demo
+
+NUMERIC = demo.NUMERIC
+FEATURES = (*NUMERIC, "seg")
+
+
+def dev_oot(spark, sf_dir):
+    rows = binary_rows(demo.samples_table(spark, sf_dir), "label")
+    return rows.filter(F.col("date") < demo.CUT_DATE), rows.filter(F.col("date") >= demo.CUT_DATE)
+
+
+BINARY = "bin AS (SELECT * FROM risk_samples WHERE label IN (0, 1))"
+
+
+def _stats_sql():
+    from checks.bins import IV_EDGES, IV_LISTS, IV_PARTS, NODES
+    from checks.stability import PSI_BODY, PSI_EDGES, _psi_sql
+
+    iv_lists = IV_LISTS.replace("WHERE label IN (0, 1)", "WHERE label IN (0, 1) AND date < 19990101")
+    psi_edges = PSI_EDGES.replace("risk_samples", "bin")
+    iv = f"iv AS (WITH {iv_lists}, {NODES}, {IV_EDGES}, {IV_PARTS} SELECT feature, sum(part) AS iv FROM parts GROUP BY 1)"
+    psi = f"psi AS (WITH {psi_edges}, {_psi_sql('true')} {PSI_BODY.format('psi')})"
+    psi_valid = f"psi_valid AS (WITH {psi_edges}, {_psi_sql(f'x.v NOT IN {SENTINEL_LIST}')} {PSI_BODY.format('psi_valid')})"
+    dev = "dev AS (SELECT * FROM bin WHERE date < 19990101)"
+    seg = """seg AS (
+      WITH c AS (SELECT coalesce(seg, '-9999') AS v, count(*) FILTER (date < 19990101) AS p, count(*) FILTER (date >= 19990101) AS q,
+          sum(label) FILTER (date < 19990101) AS bad FROM bin GROUP BY 1),
+        s AS (SELECT *, (p - bad) / sum(p - bad) OVER () AS pg, bad / sum(bad) OVER () AS pb,
+          round(greatest(p, 1) / sum(p) OVER (), 8) AS ps, round(greatest(q, 1) / sum(q) OVER (), 8) AS qs FROM c)
+      SELECT sum(CASE WHEN pg > 0 AND pb > 0 THEN (pg - pb) * ln(pg / pb) ELSE 0 END) AS iv,
+        sum((ps - qs) * round(ln(ps / qs), 4)) AS psi FROM s)"""
+    long = f"x AS ({long_numeric(source='dev', keep='id')})"
+    top = "top AS (SELECT feature, max(c) AS c FROM (SELECT feature, v, count(*) AS c FROM x WHERE v > -9990 GROUP BY 1, 2) GROUP BY 1)"
+    body = f"""
+SELECT x.feature, round(any_value(iv.iv), 6) AS iv, any_value(psi.psi) AS psi, any_value(psi_valid.psi_valid) AS psi_valid,
+  round(avg(CASE WHEN v IS NULL OR v IN {SENTINEL_LIST} THEN 1 ELSE 0 END), 8) AS missing,
+  round(avg(v) FILTER (v > -9990), 4) AS mean, round(stddev_samp(v) FILTER (v > -9990), 4) AS std, min(v) FILTER (v > -9990) AS min,
+  max(v) FILTER (v > -9990) AS max, round(any_value(top.c) / count(*), 8) AS unique_rate,
+  round(avg(CASE WHEN v < 0 THEN 1 ELSE 0 END), 8) AS neg_rate, round(avg(CASE WHEN v < 0 AND v > -9990 THEN 1 ELSE 0 END), 8) AS neg_rate_valid
+FROM x JOIN iv USING (feature) JOIN psi USING (feature) JOIN psi_valid USING (feature) JOIN top USING (feature) GROUP BY 1
+UNION ALL SELECT 'seg', round((SELECT iv FROM seg), 6), round((SELECT psi FROM seg), 6), round((SELECT psi FROM seg), 6),
+  round(avg(CASE WHEN seg IS NULL THEN 1 ELSE 0 END), 8), NULL, NULL, NULL, NULL,
+  round((SELECT max(c) FROM (SELECT count(*) AS c FROM dev WHERE seg IS NOT NULL GROUP BY seg)) / count(*), 8), NULL, NULL FROM dev"""
+    return with_risk(BINARY, iv, psi, psi_valid, dev, seg, long, top, body=body)
+
+
+STATS_SQL = _stats_sql()
+
+
+def stats(spark, sf_dir):
+    out = select.feature_stats(*dev_oot(spark, sf_dir), FEATURES)
+    out = rounded(out, "iv", "psi", "psi_valid", digits=6)
+    out = rounded(out, "mean", "std", digits=4)
+    return rounded(out, "missing", "unique_rate", "neg_rate", "neg_rate_valid")
+
+
+@query("feature_stats", STATS_SQL)
+def feature_stats(spark, sf_dir):
+    return stats(spark, sf_dir)
+
+
+@query("passing_features", f"SELECT feature, iv, psi, missing FROM ({STATS_SQL}) WHERE iv >= 0.01 AND missing < 0.9 AND psi < 0.2")
+def passing_features(spark, sf_dir):
+    return select.passing_features(stats(spark, sf_dir), 0.01, 0.2, 0.9).select("feature", "iv", "psi", "missing")
+
+
+@query("select_features", f"""
+SELECT feature, iv FROM ({STATS_SQL}) WHERE iv >= 0.01 AND missing < 0.9 AND psi < 0.2 AND feature <> 'sig_dup'""")
+def select_features(spark, sf_dir):
+    dev, oot = dev_oot(spark, sf_dir)
+    table, kept = select.select_features(dev, oot, FEATURES)
+    return rounded(table.filter(F.col("feature").isin(kept)), "iv", digits=6).select("feature", "iv")
+
+
+def _corr_sql(features, source="risk_samples"):
+    clean = ", ".join(f"CASE WHEN {f} NOT IN {SENTINEL_LIST} THEN CAST({f} AS DOUBLE) END AS {f}" for f in features)
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
+    cells = union(
+        f"SELECT '{a}' AS feature_i, '{b}' AS feature_j, corr({a}, {b}) AS r FROM c" for a, b in pairs
+    )
+    return with_risk(f"c AS (SELECT {clean} FROM {source})", f"m AS ({cells})", body="""
+SELECT feature_i, feature_j, CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) + 0.0 END AS r FROM m""")
+
+
+CORR_SQL = _corr_sql(NUMERIC)
+
+
+@query("corr_matrix", CORR_SQL)
+def corr_matrix(spark, sf_dir):
+    return rounded(select.correlation_matrix(demo.risk_samples(spark, sf_dir, *NUMERIC), NUMERIC), "r", digits=6)
+
+
+@query("corr_matrix_sums", CORR_SQL)
+def corr_matrix_sums(spark, sf_dir):
+    rows = demo.samples_table(spark, sf_dir)
+    values = rows.selectExpr(*[f"{select._known(rows, f)} AS x{i}" for i, f in enumerate(NUMERIC)])
+    return rounded(select._correlation_by_sums(values, NUMERIC), "r", digits=6)
+
+
+@query("corr_upper_prune", f"""
+SELECT feature_j AS feature, round(max(abs(r)), 6) AS max_r FROM ({CORR_SQL}) GROUP BY 1 HAVING max(abs(r)) > 0.8""")
+def corr_upper_prune(spark, sf_dir):
+    matrix = select.correlation_matrix(demo.risk_samples(spark, sf_dir, *NUMERIC), NUMERIC)
+    return rounded(select.correlated_with_earlier(matrix, 0.8), "max_r", digits=6)
+
+
+@query("variance_inflation")
+def variance_inflation(spark, sf_dir):
+    rows = demo.samples_table(spark, sf_dir)
+    return select.variance_inflation(rows, ["amt", "nation", "n_lines", "sum_qty", "drift", "sig"])
+
+
+NULLS = f"""
+x AS ({long_numeric(('amt', 'bal', 'sum_qty', 'sig'), keep='channel')}),
+actual AS (SELECT feature, avg(abs(v)) AS gain, CAST(count(v) AS DOUBLE) AS split FROM x GROUP BY 1),
+runs AS (SELECT feature, channel, avg(abs(v)) AS gain, CAST(count(v) AS DOUBLE) AS split FROM x GROUP BY 1, 2),
+nulls AS (SELECT feature, quantile_cont(gain, 0.75) AS g, quantile_cont(split, 0.75) AS s FROM runs GROUP BY 1)"""
+
+
+@query("null_score", with_risk(NULLS, body="""
+SELECT feature, round(ln(1e-10::DOUBLE + split / (1 + s)), 6) AS split_score, round(ln(1e-10::DOUBLE + gain / (1 + g)), 6) AS gain_score
+FROM actual JOIN nulls USING (feature)"""))
+def null_score(spark, sf_dir):
+    """Scores from importance tables derived from the samples: whole table against channels."""
+    names = ["amt", "bal", "sum_qty", "sig"]
+    rows = demo.risk_samples(spark, sf_dir, "channel", *names)
+    long = rows.unpivot(["channel"], names, "feature", "v")
+    sizes = [F.avg(F.abs("v")).alias("importance_gain"), F.count("v").cast("double").alias("importance_split")]
+    scores = importance.null_score(long.groupBy("feature").agg(*sizes), long.groupBy("feature", "channel").agg(*sizes))
+    return rounded(importance.top_by_null_score(scores), "split_score", "gain_score", digits=6)
+
+
+@query("forest_importance")
+def forest_importance(spark, sf_dir):
+    dev, _ = dev_oot(spark, sf_dir)
+    return importance.actual_importance(dev, ["amt", "bal", "nation", "sum_qty", "sig"], trees=10)
+
+
+@query("null_importance")
+def null_importance(spark, sf_dir):
+    dev, _ = dev_oot(spark, sf_dir)
+    features = ["amt", "sum_qty", "sig"]
+    actual = importance.actual_importance(dev, features, trees=5)
+    return importance.null_score(actual, importance.null_importance(dev, features, nb_runs=3, trees=5))
+
+
+@query("stepwise_logistic")
+def stepwise_logistic(spark, sf_dir):
+    dev, _ = dev_oot(spark, sf_dir)
+    return regression.stepwise_logistic(dev, ["amt", "nation", "sum_qty", "sig"])
+
+
+@query("stepwise_linear")
+def stepwise_linear(spark, sf_dir):
+    dev, _ = dev_oot(spark, sf_dir)
+    return regression.stepwise_linear(dev, ["bal_dup", "nation", "n_lines", "sum_qty", "sig"], "amt", alpha=0.2)
+
+
+CONDITIONS = {"sig": "CAST(least(floor(sig / 100), 11) AS BIGINT)", "nation": "nation", "channel": "channel", "lines": "n_lines"}
+
+
+def _rules_sql():
+    names = list(CONDITIONS)
+    single = [f"SELECT '{a}' AS feature_1, {a} AS value_1, NULL AS feature_2, NULL AS value_2, label FROM c WHERE {a} IS NOT NULL" for a in names]
+    double = [
+        f"SELECT '{a}', {a}, '{b}', {b}, label FROM c WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+        for i, a in enumerate(names) for b in names[i + 1 :]
+    ]
+    columns = ", ".join(f"CAST({e} AS VARCHAR) AS {n}" for n, e in CONDITIONS.items())
+    return with_risk(
+        f"c AS (SELECT label, {columns} FROM risk_samples WHERE label IN (0, 1))",
+        f"x AS ({union([*single, *double])})",
+        "t AS (SELECT count(*) AS n, avg(label) AS rate FROM c)",
+        body="""
+SELECT feature_1, value_1, feature_2, value_2, CAST(count(*) AS BIGINT) AS covered, CAST(sum(label) AS BIGINT) AS bad,
+  round(count(*) / any_value(n), 8) AS coverage, round(avg(label), 8) AS score, round(avg(label) / any_value(rate), 8) AS lift,
+  round(any_value(rate), 8) AS overall_rate FROM x, t GROUP BY 1, 2, 3, 4
+HAVING count(*) / any_value(n) >= 0.01 AND avg(label) > 1.2 * any_value(rate)""")
+
+
+@query("rule_lift", _rules_sql())
+def rule_lift(spark, sf_dir):
+    rows = demo.risk_samples(spark, sf_dir, "label", "sig", "nation", "channel", "n_lines")
+    out = rules.lift_rules(rows, {n: F.expr(e) for n, e in CONDITIONS.items()}, threshold_lift=1.2)
+    return rounded(out, "coverage", "score", "lift", "overall_rate")

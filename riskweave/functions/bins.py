@@ -16,6 +16,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.functions.cleaning import sql_name
+
 
 def sql_double(value: float) -> str:
     if math.isinf(value):
@@ -68,18 +70,16 @@ def after(value: float) -> float:
     return math.nextafter(float(value), math.inf) + 0.0
 
 
-def count_reached(df: DataFrame, columns: Mapping[str, Column], thresholds: Mapping[str, Sequence[float]]) -> DataFrame:
+def count_reached(df: DataFrame, columns: Mapping[str, str], thresholds: Mapping[str, Sequence[float]]) -> DataFrame:
     """Replaces each named column by how many of its increasing thresholds it reaches.
 
-    ``columns`` are double expressions; NULL stays NULL. Columns of ``df`` that
+    ``columns`` are SQL texts of doubles; NULL stays NULL. Columns of ``df`` that
     are not named are kept.
     """
     names = [n for n in columns if thresholds[n]]
-    kept = [c for c in df.columns if c not in columns]
-    nan = F.lit(math.nan)
-    source = df.select(
-        *[F.col(f"`{c}`") for c in kept],
-        *[(F.coalesce(columns[n], nan) + F.lit(0.0)).alias(f"_x{i}") for i, n in enumerate(names)],
+    kept = [sql_name(c) for c in df.columns if c not in columns]
+    source = df.selectExpr(
+        *kept, *[f"coalesce({columns[n]}, double('NaN')) + 0.0D AS _x{i}" for i, n in enumerate(names)]
     )
     if names:
         splits = [[-math.inf, *[float(t) + 0.0 for t in thresholds[n]], math.inf] for n in names]
@@ -89,23 +89,20 @@ def count_reached(df: DataFrame, columns: Mapping[str, Column], thresholds: Mapp
             outputCols=[f"_b{i}" for i in range(len(names))],
             handleInvalid="keep",
         ).transform(source)
-    found = {}
-    for i, n in enumerate(names):
-        found[n] = F.when(F.col(f"_b{i}") <= len(thresholds[n]), F.col(f"_b{i}").cast("int"))
-    return source.select(
-        *[F.col(f"`{c}`") for c in kept],
-        *[found.get(n, F.lit(None).cast("int")).alias(n) for n in columns],
-    )
+    found = {
+        n: f"CASE WHEN _b{i} <= {len(thresholds[n])} THEN CAST(_b{i} AS INT) END" for i, n in enumerate(names)
+    }
+    return source.selectExpr(*kept, *[f"{found.get(n, 'CAST(NULL AS INT)')} AS {sql_name(n)}" for n in columns])
 
 
 def add_bins(
     df: DataFrame,
-    columns: Mapping[str, Column],
+    columns: Mapping[str, str],
     edges: Mapping[str, Sequence[float]],
     closed: str = "right",
     include_lowest: bool = False,
 ) -> DataFrame:
-    """Replaces each named column by its zero-based bin, NULL outside the edges."""
+    """Replaces each named column (SQL text) by its zero-based bin, NULL outside the edges."""
     thresholds = {}
     for n in columns:
         cut = [after(e) if closed == "right" and not math.isinf(e) else float(e) for e in edges[n]]
@@ -114,20 +111,21 @@ def add_bins(
         # Bucketizer brings its own infinite ends.
         thresholds[n] = [c for c in cut if not math.isinf(c)]
     counted = count_reached(df, columns, thresholds)
-    open_low = {n: bool(edges[n]) and math.isinf(edges[n][0]) for n in columns}
     out = []
     for c in counted.columns:
+        name = sql_name(c)
         if c not in columns:
-            out.append(F.col(f"`{c}`"))
+            out.append(name)
             continue
-        place = F.col(f"`{c}`") + (1 if open_low[c] else 0)
-        bins = len(edges[c]) - 1
-        out.append(F.when((place >= 1) & (place <= bins), place - 1).alias(c))
-    return counted.select(*out)
+        # Without a finite lowest edge the first bin has passed no threshold yet.
+        first = 0 if edges[c] and math.isinf(edges[c][0]) else 1
+        last = first + len(edges[c]) - 2
+        out.append(f"CASE WHEN {name} BETWEEN {first} AND {last} THEN {name} - {first} END AS {name}")
+    return counted.selectExpr(*out)
 
 
 def with_bin(
     df: DataFrame, column: str, edges: Sequence[float], out: str, closed: str = "right", include_lowest: bool = False
 ) -> DataFrame:
     """Adds the zero-based bin of one column, NULL outside the edges."""
-    return add_bins(df, {out: F.col(f"`{column}`").cast("double")}, {out: edges}, closed, include_lowest)
+    return add_bins(df, {out: f"CAST({sql_name(column)} AS DOUBLE)"}, {out: edges}, closed, include_lowest)

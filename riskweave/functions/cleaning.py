@@ -27,44 +27,54 @@ def type_name(df: DataFrame, name: str) -> str:
     return "categorical" if isinstance(df.schema[name].dataType, T.StringType) else "numeric"
 
 
-def as_double(df: DataFrame, name: str) -> Column:
-    """Column as double, with NaN turned into NULL so aggregates skip it."""
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def double_sql(df: DataFrame, name: str) -> str:
+    """SQL of a column as double, with NaN turned into NULL so aggregates skip it."""
     kind = df.schema[name].dataType
-    col = F.col(f"`{name}`")
+    col = sql_name(name)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
+        return f"nanvl(CAST({col} AS DOUBLE), CAST(NULL AS DOUBLE))"
     if isinstance(kind, T.BooleanType):
-        return col.cast("int").cast("double")
-    return col.cast("double")
+        return f"CAST(CAST({col} AS INT) AS DOUBLE)"
+    return f"CAST({col} AS DOUBLE)"
+
+
+def as_double(df: DataFrame, name: str) -> Column:
+    return F.expr(double_sql(df, name))
 
 
 def tokens_for(df: DataFrame, name: str, missing_list: Iterable) -> list:
     """Missing tokens that can match the column: numbers on numbers, text on text."""
-    text = isinstance(df.schema[name].dataType, T.StringType)
+    text = type_name(df, name) == "categorical"
     return [t for t in missing_list if isinstance(t, str) == text]
 
 
-def typed(df: DataFrame, name: str) -> Column:
+def typed_sql(df: DataFrame, name: str) -> str:
     """Numeric columns as NaN-free double, the others as they are."""
-    return F.col(f"`{name}`") if type_name(df, name) == "categorical" else as_double(df, name)
+    return sql_name(name) if type_name(df, name) == "categorical" else double_sql(df, name)
+
+
+def sql_list(values: Iterable) -> str:
+    return ", ".join(sql_text(v) if isinstance(v, str) else f"{float(v)!r}D" for v in values)
 
 
-def is_token(df: DataFrame, name: str, missing_list: Iterable) -> Column:
+def is_token_sql(df: DataFrame, name: str, missing_list: Iterable) -> str:
     tokens = tokens_for(df, name, missing_list)
-    if not tokens:
-        return F.lit(False)
-    values = [t if isinstance(t, str) else float(t) for t in tokens]
-    return F.coalesce(typed(df, name).isin(values), F.lit(False))
+    return f"coalesce({typed_sql(df, name)} IN ({sql_list(tokens)}), false)" if tokens else "false"
 
 
-def without_tokens(df: DataFrame, name: str, missing_list: Iterable) -> Column:
-    """Typed column with missing tokens replaced by NULL."""
+def known_sql(df: DataFrame, name: str, missing_list: Iterable) -> str:
+    """SQL of the typed column with missing tokens replaced by NULL."""
     tokens = tokens_for(df, name, missing_list)
-    col = typed(df, name)
-    if not tokens:
-        return col
-    values = [t if isinstance(t, str) else float(t) for t in tokens]
-    return F.when(~col.isin(values), col)
+    col = typed_sql(df, name)
+    return f"CASE WHEN {col} NOT IN ({sql_list(tokens)}) THEN {col} END" if tokens else col
 
 
 def fill_missing(df: DataFrame, numeric: list[str], categorical: list[str], fill_val=-9999) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.bins import add_bins, with_bin, with_infinite_ends
-from riskweave.functions.cleaning import as_double
+from riskweave.functions.cleaning import double_sql, sql_list, sql_name
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.spec import FIRST_REAL, IV_FIRST_EDGES, MISSING_CODE, PSI_FIRST_EDGE, PSI_REAL_ABOVE, SENTINELS
 
@@ -35,28 +35,29 @@ def finish_edges(first: Sequence, lo, hi, n: int, method: int, nodes: Sequence)
     return sorted({float(e) for e in (*first, *inner) if e is not None})
 
 
-def iv_value(df: DataFrame, name: str) -> Column:
-    """Feature value with every sentinel and NULL folded into one missing code."""
-    col = as_double(df, name)
-    return F.when(col.isNull() | col.isin([float(s) for s in SENTINELS]), F.lit(MISSING_CODE)).otherwise(col)
+def iv_value(df: DataFrame, name: str) -> str:
+    """SQL of the feature with every sentinel and NULL folded into one missing code."""
+    col = double_sql(df, name)
+    return f"CASE WHEN {col} NOT IN ({sql_list(SENTINELS)}) THEN {col} ELSE {MISSING_CODE!r}D END"
 
 
-def small_distinct_counts(df: DataFrame, columns: Mapping[str, Column], cap: int) -> dict[str, int]:
-    """Distinct values per column, exact below ``cap`` and at least ``cap`` above.
+def small_distinct_counts(df: DataFrame, columns: Mapping[str, str], cap: int) -> dict[str, int]:
+    """Distinct values per column (SQL text), exact below ``cap`` and at least ``cap`` above.
 
     A sketch sorts out the clearly larger columns; only the rest is counted
     exactly, where the values that reach the shuffle are few.
     """
     if not columns:
         return {}
-    rough = df.agg(*[F.approx_count_distinct(c).alias(n) for n, c in columns.items()]).first().asDict()
-    near = {n: c for n, c in columns.items() if rough[n] <= 2 * cap + 20}
-    counts = {n: max(cap, rough[n]) for n in columns if n not in near}
+    names = list(columns)
+    rough = df.selectExpr(*[f"approx_count_distinct({columns[n]}) AS c{i}" for i, n in enumerate(names)]).first()
+    near = [i for i in range(len(names)) if rough[i] <= 2 * cap + 20]
+    counts = {n: max(cap, rough[i]) for i, n in enumerate(names) if i not in near}
     if near:
-        flat = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("n"), c.alias("v")) for n, c in near.items()])))
-        rows = flat.select("col.*").filter("v IS NOT NULL").distinct().groupBy("n").count().collect()
-        exact = {r["n"]: r["count"] for r in rows}
-        counts.update({n: exact.get(n, 0) for n in near})
+        parts = ", ".join(f"{i}, CAST({columns[names[i]]} AS STRING)" for i in near)
+        flat = df.selectExpr(f"stack({len(near)}, {parts}) AS (i, v)").filter("v IS NOT NULL").distinct()
+        exact = {r["i"]: r["count"] for r in flat.groupBy("i").count().collect()}
+        counts.update({names[i]: exact.get(i, 0) for i in near})
     return counts
 
 
@@ -68,9 +69,9 @@ def iv_edges(df: DataFrame, features: Sequence[str], n_bins: int = 10, method: i
     wanted = {}
     for f in features:
         probs = [k / n_of[f] for k in range(1, n_of[f])] if method == EQUAL_FREQUENCY else []
-        wanted[f] = (F.when(value[f] > FIRST_REAL, value[f]), probs)
-    extra = [F.max(value[f]).alias(f"top_{i}") for i, f in enumerate(features)]
-    extra += [F.min(wanted[f][0]).alias(f"low_{i}") for i, f in enumerate(features)]
+        wanted[f] = (f"CASE WHEN {value[f]} > {FIRST_REAL!r}D THEN {value[f]} END", probs)
+    extra = [f"max({value[f]}) AS top_{i}" for i, f in enumerate(features)]
+    extra += [f"min({wanted[f][0]}) AS low_{i}" for i, f in enumerate(features)]
     nodes, row = exact_quantiles(df, wanted, extra)
     return {
         f: finish_edges(IV_FIRST_EDGES, row[f"low_{i}"], row[f"top_{i}"], n_of[f], method, nodes[f])
@@ -79,16 +80,17 @@ def iv_edges(df: DataFrame, features: Sequence[str], n_bins: int = 10, method: i
 
 
 def psi_edges(
-    df: DataFrame, features: Sequence[str], is_expected: Column, n_bins: int = 10, method: int = EQUAL_FREQUENCY
+    df: DataFrame, features: Sequence[str], expected: str, n_bins: int = 10, method: int = EQUAL_FREQUENCY
 ) -> dict[str, list[float]]:
-    """Edges for feature stability: range over all rows, quantiles of the expected rows."""
-    value = {f: as_double(df, f) for f in features}
-    extra = [F.max(value[f]).alias(f"top_{i}") for i, f in enumerate(features)]
-    extra += [F.min(F.when(value[f] > PSI_REAL_ABOVE, value[f])).alias(f"low_{i}") for i, f in enumerate(features)]
+    """Edges for feature stability: range over all rows, quantiles of the ``expected`` rows (SQL test)."""
+    value = {f: double_sql(df, f) for f in features}
+    real = {f: f"{value[f]} > {PSI_REAL_ABOVE!r}D" for f in features}
+    extra = [f"max({value[f]}) AS top_{i}" for i, f in enumerate(features)]
+    extra += [f"min(CASE WHEN {real[f]} THEN {value[f]} END) AS low_{i}" for i, f in enumerate(features)]
     probs = [k / n_bins for k in range(1, n_bins)] if method == EQUAL_FREQUENCY else []
     # No value lies strictly between the bound and the smallest value above it,
     # so "above the bound" and "from the smallest value on" are the same rows.
-    wanted = {f: (F.when(is_expected & (value[f] > PSI_REAL_ABOVE), value[f]), probs) for f in features}
+    wanted = {f: (f"CASE WHEN {expected} AND {real[f]} THEN {value[f]} END", probs) for f in features}
     nodes, row = exact_quantiles(df, wanted, extra)
     edges = {}
     for i, f in enumerate(features):
@@ -98,8 +100,8 @@ def psi_edges(
     return edges
 
 
-def quantile_edges(df: DataFrame, columns: Mapping[str, Column], n_bins: int = 10) -> dict[str, list[float]]:
-    """Distinct quantiles 0, 1/n .. 1 of each column."""
+def quantile_edges(df: DataFrame, columns: Mapping[str, str], n_bins: int = 10) -> dict[str, list[float]]:
+    """Distinct quantiles 0, 1/n .. 1 of each column (SQL text)."""
     probs = [k / n_bins for k in range(n_bins + 1)]
     found, _ = exact_quantiles(df, {n: (c, probs) for n, c in columns.items()})
     return {n: sorted({v for v in found[n] if v is not None}) for n in columns}
@@ -107,12 +109,12 @@ def quantile_edges(df: DataFrame, columns: Mapping[str, Column], n_bins: int = 1
 
 def level_edges(df: DataFrame, column: str, n_bins: int = 10) -> list[float]:
     """Quantile edges for level tables, with the input checks a level table needs."""
-    distinct = small_distinct_counts(df, {column: F.col(column)}, n_bins + 1)[column]
+    distinct = small_distinct_counts(df, {column: sql_name(column)}, n_bins + 1)[column]
     if distinct <= 1:
         raise ValueError(f"{column} has {distinct} distinct value(s); levels need more")
     if distinct < n_bins:
         raise ValueError(f"{column} has {distinct} distinct values, fewer than {n_bins} levels")
-    return quantile_edges(df, {column: F.col(column)}, n_bins)[column]
+    return quantile_edges(df, {column: double_sql(df, column)}, n_bins)[column]
 
 
 def widened_edges(edges: Sequence[float], ratio: float = 0.2) -> list[float]:
@@ -145,28 +147,24 @@ def bin_by_edges(df: DataFrame, column: str, edges: Sequence[float], out: str =
 def five_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Levels 1..5 by quintiles; a value on a quintile belongs to the higher level."""
     probs = [0.0, 0.2, 0.4, 0.6, 0.8]
-    found, _ = exact_quantiles(df, {c: (as_double(df, c), probs) for c in columns})
+    value = {c: double_sql(df, c) for c in columns}
+    found, _ = exact_quantiles(df, {c: (value[c], probs) for c in columns})
     changes = {}
     for c in columns:
-        steps = [F.when(as_double(df, c) >= e, 1).otherwise(0) for e in found[c] if e is not None]
-        level = F.lit(0)
-        for s in steps:
-            level = level + s
-        changes[c] = F.when(as_double(df, c).isNotNull(), level)
-    return df.withColumns(changes)
+        steps = " + ".join(f"CAST({value[c]} >= {e!r}D AS INT)" for e in found[c] if e is not None) or "0"
+        changes[c] = F.expr(f"CASE WHEN {value[c]} IS NOT NULL THEN {steps} END")
+    return df.withColumns(changes) if changes else df
 
 
 def discretise_continuous(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Five levels for columns with fractional values; text and whole numbers stay as they are."""
-    fractional = df.agg(
-        *[
-            F.coalesce(F.max((as_double(df, c) != F.floor(as_double(df, c))).cast("int")), F.lit(0)).alias(c)
-            for c in columns
-            if dict(df.dtypes)[c] in ("double", "float") or dict(df.dtypes)[c].startswith("decimal")
-        ]
-        or [F.lit(0).alias("_none")]
-    ).first().asDict()
-    return five_levels(df, [c for c in columns if fractional.get(c)])
+    kinds = dict(df.dtypes)
+    maybe = [c for c in columns if kinds[c] in ("double", "float") or kinds[c].startswith("decimal")]
+    if not maybe:
+        return df
+    tests = [f"coalesce(max({double_sql(df, c)} <> floor({double_sql(df, c)})), false) AS c{i}" for i, c in enumerate(maybe)]
+    row = df.selectExpr(*tests).first()
+    return five_levels(df, [c for i, c in enumerate(maybe) if row[i]])
 
 
 def edges_table(spark, edges: Mapping[str, Sequence[float]]) -> DataFrame:
@@ -178,7 +176,7 @@ def edges_table(spark, edges: Mapping[str, Sequence[float]]) -> DataFrame:
 
 def bin_counts(
     df: DataFrame,
-    values: Mapping[str, Column],
+    values: Mapping[str, str],
     edges: Mapping[str, Sequence[float]],
     aggs: Sequence[Column],
     keep: Sequence[str],
@@ -191,10 +189,15 @@ def bin_counts(
     The bin number is computed before the rows are unpivoted, and the counts
     combine before the shuffle, so what moves is features x bins per task.
     """
-    names = list(values)
-    binned = add_bins(df.select(*keep, *[values[f].alias(f) for f in names]), {f: F.col(f"`{f}`") for f in names}, edges, closed, include_lowest)
+    binned = add_bins(
+        df.selectExpr(*[sql_name(k) for k in keep], *[f"{v} AS {sql_name(f)}" for f, v in values.items()]),
+        {f: sql_name(f) for f in values},
+        edges,
+        closed,
+        include_lowest,
+    )
     return (
-        binned.unpivot(list(keep), [F.col(f"`{f}`") for f in names], "feature", "bin_idx")
+        binned.unpivot(list(keep), [sql_name(f) for f in values], "feature", "bin_idx")
         .groupBy("feature", *by, "bin_idx")
         .agg(*aggs)
     )

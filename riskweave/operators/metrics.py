@@ -207,7 +207,7 @@ def score_bands(df: DataFrame, score: str, cut_points: Sequence[float], label: s
 def lift_curve(df: DataFrame, score: str, label: str = "label", ncut: int = 20) -> DataFrame:
     """Cumulative count, response and lift over quantile cuts from the riskiest down."""
     rows = df.filter(F.col(label).isin(0, 1) & F.col(score).isNotNull()).select(label, (-F.col(score)).alias("_down"))
-    edges = quantile_edges(rows, {"x": F.col("_down")}, ncut)["x"]
+    edges = quantile_edges(rows, {"x": "_down"}, ncut)["x"]
     counts = _level_rows(with_bin(rows, "_down", edges, "cut", include_lowest=True), label, "cut")
     upto = Window.orderBy("cut").rowsBetween(Window.unboundedPreceding, 0)
     every = Window.orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

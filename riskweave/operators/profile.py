@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.functions.cleaning import as_double, is_token, tokens_for, type_name, typed, without_tokens
+from riskweave.functions.cleaning import double_sql, is_token_sql, known_sql, sql_name, sql_text, type_name, typed_sql
 from riskweave.functions.dates import looks_like_month, month_of, parse_flexible, span_days, span_months
 from riskweave.operators.quantiles import FEATURES_PER_PASS, exact_quantiles
 
@@ -24,28 +25,25 @@ def percentile_name(p: float) -> str:
 def _per_feature(df: DataFrame, features: Sequence[str], measures) -> DataFrame:
     """One row per feature from aggregates of the whole table.
 
-    ``measures(feature)`` gives a list of (name, aggregate). All features of a
-    batch share one scan; the single result row is turned into feature rows.
+    ``measures(feature)`` gives a list of (name, SQL aggregate). All features of
+    a batch share one scan; the single result row is turned into feature rows.
     """
     parts = []
     for at in range(0, len(features), FEATURES_PER_PASS):
-        batch = features[at : at + FEATURES_PER_PASS]
         aggs, rows = [], []
-        for i, f in enumerate(batch):
-            fields = [F.lit(f).alias("feature")]
+        for i, f in enumerate(features[at : at + FEATURES_PER_PASS]):
+            fields = [f"{sql_text(f)} AS feature"]
             for j, (name, agg) in enumerate(measures(f)):
-                aggs.append(agg.alias(f"m{i}_{j}"))
-                fields.append(F.col(f"m{i}_{j}").alias(name))
-            rows.append(F.struct(*fields))
-        parts.append(df.agg(*aggs).select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                aggs.append(f"{agg} AS m{i}_{j}")
+                fields.append(f"m{i}_{j} AS {sql_name(name)}")
+            rows.append(f"struct({', '.join(fields)})")
+        parts.append(df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _rate(condition: Column) -> Column:
-    return F.coalesce(F.try_divide(F.count_if(condition), F.count(F.lit(1))), F.lit(0.0))
+def rate_sql(condition: str) -> str:
+    """Share of rows that meet a condition."""
+    return f"coalesce(try_divide(count_if({condition}), count(1)), 0.0D)"
 
 
 def token_name(token) -> str:
@@ -56,52 +54,33 @@ def missing_profile(df: DataFrame, features: Sequence[str], missing_list: Sequen
     """Share of each missing token and of NULL per feature, and their sum."""
 
     def measures(f):
-        mine = tokens_for(df, f, missing_list)
-        out = [("type", F.first(F.lit(type_name(df, f)))), ("total_count", F.count(F.lit(1)))]
-        for t in missing_list:
-            hit = is_token(df, f, [t]) if t in mine else F.lit(False)
-            out.append((token_name(t), _rate(hit)))
-        return out + [("missing_nan", _rate(typed(df, f).isNull()))]
+        out = [("type", f"first('{type_name(df, f)}')"), ("total_count", "count(1)")]
+        out += [(token_name(t), rate_sql(is_token_sql(df, f, [t]))) for t in missing_list]
+        return out + [("missing_nan", rate_sql(f"{typed_sql(df, f)} IS NULL"))]
 
-    table = _per_feature(df, features, measures)
-    total = F.col("missing_nan")
-    for t in missing_list:
-        total = total + F.col(f"`{token_name(t)}`")
-    return table.withColumn("missing_tot", total)
+    total = " + ".join(["missing_nan", *[sql_name(token_name(t)) for t in missing_list]])
+    return _per_feature(df, features, measures).selectExpr("*", f"{total} AS missing_tot")
 
 
 def missing_rates(df: DataFrame, features: Sequence[str], missing_list: Sequence = ()) -> DataFrame:
     """Missing rate per feature with tokens counted as missing."""
     return _per_feature(
-        df, features, lambda f: [("missing_rate", _rate(without_tokens(df, f, missing_list).isNull()))]
+        df, features, lambda f: [("missing_rate", rate_sql(f"{known_sql(df, f, missing_list)} IS NULL"))]
     )
 
 
 def numeric_profile(df: DataFrame, features: Sequence[str], missing_list: Sequence = ()) -> DataFrame:
     """Count, mean, deviation, range, percentiles and variation of valid values."""
-    valid = {f: without_tokens(df, f, missing_list) for f in features}
+    valid = {f: known_sql(df, f, missing_list) for f in features}
     percentiles, _ = exact_quantiles(df, {f: (valid[f], PROFILE_PERCENTILES) for f in features})
-    spark = df.sparkSession
     fields = [T.StructField("feature", T.StringType())]
     fields += [T.StructField(percentile_name(p), T.DoubleType()) for p in PROFILE_PERCENTILES]
-    found = spark.createDataFrame([(f, *percentiles[f]) for f in features], T.StructType(fields))
-
-    moments = _per_feature(
-        df,
-        features,
-        lambda f: [
-            ("count", F.count(valid[f])),
-            ("mean", F.avg(valid[f])),
-            ("std", F.stddev_samp(valid[f])),
-            ("min", F.min(valid[f])),
-            ("max", F.max(valid[f])),
-        ],
-    )
+    found = df.sparkSession.createDataFrame([(f, *percentiles[f]) for f in features], T.StructType(fields))
+    aggregates = (("count", "count"), ("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+    moments = _per_feature(df, features, lambda f: [(name, f"{agg}({valid[f]})") for name, agg in aggregates])
     # Both sides hold one row per feature.
-    return (
-        moments.join(F.broadcast(found), "feature", "left")
-        .withColumn("cv", F.try_divide("std", F.col("mean")))
-        .select("feature", "count", "mean", "std", "min", *found.columns[1:], "max", "cv")
+    return moments.join(F.broadcast(found), "feature", "left").selectExpr(
+        "feature", "count", "mean", "std", "min", *found.columns[1:], "max", "try_divide(std, mean) AS cv"
     )
 
 
@@ -116,8 +95,8 @@ def value_counts(df: DataFrame, features: Sequence[str], missing_list: Sequence
     for kind in ("numeric", "categorical"):
         names = [f for f in features if type_name(df, f) == kind]
         if names:
-            flat = df.select(*[without_tokens(df, f, missing_list).alias(f) for f in names])
-            long = flat.unpivot([], [F.col(f"`{f}`") for f in names], "feature", "value")
+            flat = df.selectExpr(*[f"{known_sql(df, f, missing_list)} AS {sql_name(f)}" for f in names])
+            long = flat.unpivot([], [sql_name(f) for f in names], "feature", "value")
             counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
             parts.append(counts.select("feature", F.col("value").cast("string").alias("value"), "cnt"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -291,7 +270,12 @@ def channel_rates(rates: DataFrame) -> DataFrame:
 
 def null_rates(df: DataFrame, features: Sequence[str]) -> DataFrame:
     table = _per_feature(
-        df, features, lambda f: [("null_cnt", F.count_if(typed(df, f).isNull())), ("null_rate", _rate(typed(df, f).isNull()))]
+        df,
+        features,
+        lambda f: [
+            ("null_cnt", f"count_if({typed_sql(df, f)} IS NULL)"),
+            ("null_rate", rate_sql(f"{typed_sql(df, f)} IS NULL")),
+        ],
     )
     return table.orderBy(F.desc("null_cnt"), "feature")
 
@@ -303,7 +287,7 @@ def distinct_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def deviations(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    table = _per_feature(df, features, lambda f: [("std", F.stddev_samp(as_double(df, f)))])
+    table = _per_feature(df, features, lambda f: [("std", f"stddev_samp({double_sql(df, f)})")])
     return table.orderBy(F.desc("std"), "feature")
 
 

@@ -14,10 +14,11 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.bins import after, count_reached
+from riskweave.functions.cleaning import sql_name
 from riskweave.session import shuffle_width
 
 SKETCH_ACCURACY = 10_000
@@ -26,14 +27,14 @@ FEATURES_PER_PASS = 50
 
 def exact_quantiles(
     df: DataFrame,
-    wanted: Mapping[str, tuple[Column, Sequence[float]]],
-    extra: Sequence[Column] = (),
+    wanted: Mapping[str, tuple[str, Sequence[float]]],
+    extra: Sequence[str] = (),
     accuracy: int = SKETCH_ACCURACY,
 ) -> tuple[dict[str, list[float | None]], Row]:
     """Linear-interpolated quantiles per name, plus one row of extra aggregates.
 
-    ``wanted`` maps a name to (double column, probabilities); NULLs are ignored.
-    Only the quantile values and the extra row reach the driver.
+    ``wanted`` maps a name to (SQL text of a double, probabilities); NULLs are
+    ignored. Only the quantile values and the extra row reach the driver.
     """
     names = list(wanted)
     results: dict[str, list[float | None]] = {}
@@ -49,21 +50,19 @@ def exact_quantiles(
 
 def _quantile_batch(df, wanted, extra, accuracy):
     names = list(wanted)
-    cols = [wanted[n][0].cast("double").alias(f"q{i}") for i, n in enumerate(names)]
-    values = df.select(*cols) if cols else df
     margin = 2.0 / accuracy
     aggs, asked = [], []
     for i, n in enumerate(names):
+        sql = wanted[n][0]
         probs = sorted(set(wanted[n][1]))
-        ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)]
         asked.append(probs)
-        aggs += [F.count(cols[i]).alias(f"n{i}"), F.min(cols[i]).alias(f"lo{i}"), F.max(cols[i]).alias(f"hi{i}")]
-        if ends:
-            aggs.append(
-                F.percentile_approx(cols[i], F.array(*[F.lit(e) for e in ends]), accuracy).alias(f"s{i}")
-            )
-    # The sketch pass reads the source columns directly so that extra aggregates share it.
-    row = df.agg(*aggs, *extra).first().asDict()
+        aggs += [f"count({sql}) AS n{i}", f"min({sql}) AS lo{i}", f"max({sql}) AS hi{i}"]
+        if probs:
+            ends = ", ".join(f"{min(max(p + d, 0.0), 1.0)!r}D" for p in probs for d in (-margin, margin))
+            aggs.append(f"percentile_approx({sql}, array({ends}), {accuracy}) AS s{i}")
+    # Extra aggregates share the sketch pass.
+    row = df.selectExpr(*aggs, *extra).first().asDict() if aggs or extra else {}
+    values = df.selectExpr(*[f"CAST({wanted[n][0]} AS DOUBLE) AS q{i}" for i, n in enumerate(names)])
     extra_row = {k: v for k, v in row.items() if not _internal(k, len(names))}
 
     ranks: dict[int, dict[int, tuple[int, float]]] = {}
@@ -139,7 +138,7 @@ def _disjoint(pairs):
 def _look_up(values, brackets, todo, row):
     """Values at the wanted ranks that fall into a bracket, and brackets for the rest."""
     thresholds = {f"c{i}": [t for lo, hi in pairs for t in (lo, after(hi))] for i, pairs in brackets.items()}
-    sources = {f"c{i}": F.col(f"q{i}") for i in brackets}
+    sources = {f"c{i}": f"q{i}" for i in brackets}
     flat = count_reached(values, sources, thresholds)
     parts = ", ".join(f"{i}, c{i}, q{i}" for i in brackets)
     cand = (
@@ -197,12 +196,13 @@ def with_range_bucket(df: DataFrame, name: str, out: str = "_bucket") -> DataFra
     task puts every row into the same bucket again.
     """
     buckets = max(2, min(shuffle_width(df.sparkSession), 2000))
-    probs = F.array(*[F.lit(k / buckets) for k in range(1, buckets)])
-    cuts = df.agg(F.percentile_approx(F.col(name).cast("double"), probs, 10 * buckets)).first()[0]
+    value = f"CAST({sql_name(name)} AS DOUBLE)"
+    probs = ", ".join(f"{k / buckets!r}D" for k in range(1, buckets))
+    cuts = df.selectExpr(f"percentile_approx({value}, array({probs}), {10 * buckets})").first()[0]
     thresholds = sorted({after(c) for c in cuts or []})
     if not thresholds:
         return df.withColumn(out, F.lit(0))
-    return count_reached(df, {out: F.col(name).cast("double")}, {out: thresholds})
+    return count_reached(df, {out: value}, {out: thresholds})
 
 
 def running_totals(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.bins import with_bin
-from riskweave.functions.cleaning import as_double
+from riskweave.functions.cleaning import as_double, double_sql, known_sql
 from riskweave.operators.binning import EQUAL_FREQUENCY, bin_counts, edges_table, finish_edges, psi_edges, quantile_edges, widened_edges
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.spec import PSI_FIRST_EDGE, PSI_REAL_ABOVE, SENTINELS, STABLE_PSI
@@ -46,11 +46,9 @@ def psi_numeric(
     use the same bins, so they come from one pass.
     """
     rows = df.select(expected.alias("_expected"), *features)
-    edges = psi_edges(rows, features, F.col("_expected"), n_bins, method)
-    codes = [float(s) for s in SENTINELS]
-    value = {f: as_double(rows, f) for f in features}
-    both = {f"{f}\0all": value[f] for f in features}
-    both.update({f"{f}\0valid": F.when(~value[f].isin(codes), value[f]) for f in features})
+    edges = psi_edges(rows, features, "_expected", n_bins, method)
+    both = {f"{f}\0all": double_sql(rows, f) for f in features}
+    both.update({f"{f}\0valid": known_sql(rows, f, SENTINELS) for f in features})
     totals = rows.agg(*_sample_counts(F.col("_expected"))).first()
     counts = bin_counts(
         rows,
@@ -102,7 +100,7 @@ class ScoreBins:
 
 def psi_fit(expected: DataFrame, column: str, q: int = 10, range_ratio: float = 0.2) -> ScoreBins:
     """Decile edges of the expected score, widened at both ends, and the counts between them."""
-    edges = widened_edges(quantile_edges(expected, {"x": F.col(column)}, q)["x"], range_ratio)
+    edges = widened_edges(quantile_edges(expected, {"x": double_sql(expected, column)}, q)["x"], range_ratio)
     binned = with_bin(expected.select(column), column, edges, "b", include_lowest=True)
     rows = binned.groupBy("b").count().collect()
     found = {r.b: r["count"] for r in rows}
@@ -155,17 +153,17 @@ def retrain_psi(
     """Bin table of the retrain check: shares over binned rows, product rounded."""
     value = as_double(df, feature)
     rows = df.select(expected.alias("_expected"), value.alias("x"))
-    real = F.when(F.col("x") > PSI_REAL_ABOVE, F.col("x"))
+    real = f"CASE WHEN x > {PSI_REAL_ABOVE!r}D THEN x END"
     steps = round(1 / bin_step)
     probs = [k / steps for k in range(1, steps)] if method == EQUAL_FREQUENCY else []
     nodes, row = exact_quantiles(
-        rows, {"x": (F.when(F.col("_expected"), real), probs)}, [F.max("x").alias("top"), F.min(real).alias("low")]
+        rows, {"x": (f"CASE WHEN _expected THEN {real} END", probs)}, ["max(x) AS top", f"min({real}) AS low"]
     )
     top = row.top + 0.1
     hi = top + 1 if method == EQUAL_FREQUENCY else top
     edges = finish_edges((PSI_FIRST_EDGE, row.low), row.low, hi, group, method, nodes["x"])
     counts = bin_counts(
-        rows, {feature: F.col("x")}, {feature: edges},
+        rows, {feature: "x"}, {feature: edges},
         [F.count_if("_expected").alias("n_expected"), F.count_if(~F.col("_expected")).alias("n_actual")],
         ["_expected"], closed="left",
     ).filter("bin_idx IS NOT NULL").drop("feature")
