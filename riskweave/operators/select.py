@@ -17,7 +17,7 @@ from riskweave.operators.stability import psi_categorical, psi_numeric
 from riskweave.operators.woe import iv_categorical, iv_numeric
 from riskweave.spec import SENTINELS, VALID_ABOVE
 
-PAIRS_PER_PASS = 300
+PAIRS_PER_PASS = 45
 
 
 def _known(df: DataFrame, name: str) -> str:
