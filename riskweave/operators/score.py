@@ -96,7 +96,7 @@ def parity_rows(scored: DataFrame, columns: Sequence[str], id_col: str = "id", n
 
 
 def parity_sample(scored: DataFrame, columns: Sequence[str], id_col: str = "id", n: int = 5, seed: int = 42) -> DataFrame:
-    """A few rows in a random but repeatable order, as JSON records."""
+    """A few of those first rows in a random but repeatable order, as JSON records."""
     order = F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.lit(str(seed))))
-    picked = scored.select(*columns).orderBy(order, id_col).limit(n)
+    picked = parity_rows(scored, columns, id_col).orderBy(order, id_col).limit(n)
     return picked.select(F.col(id_col), F.to_json(F.struct(*columns)).alias("record"))

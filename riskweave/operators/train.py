@@ -53,6 +53,7 @@ SEARCH_SPACE = {
 }
 PSI_LIMIT = 0.2
 PROB = "prob_"
+WEIGHT = "_weight"
 
 
 def prepare(df: DataFrame, features: Sequence[str], missing: float = MISSING_CODE) -> DataFrame:
@@ -73,14 +74,19 @@ def feature_stages(df: DataFrame, features: Sequence[str], out: str = "features"
     return [*stages, VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep")]
 
 
-def boosting(params: Mapping, label: str = "label") -> GBTClassifier:
-    """Gradient-boosted trees with the usual parameter names mapped to Spark ML's."""
+def boosting(params: Mapping, label: str = "label", n_rows: int = 1) -> GBTClassifier:
+    """Gradient-boosted trees with the usual parameter names mapped to Spark ML's.
+
+    ``min_split_gain`` is a sum over rows, Spark ML's gain a mean, hence the
+    division. ``scale_pos_weight`` becomes a weight column. The ridge and lasso
+    penalties on leaves and ``subsample_freq`` have no counterpart.
+    """
     p = {**DEFAULT_PARAMS, **params}
     depth = p.get("max_depth", -1)
     if depth is None or depth < 1:
         depth = max(1, math.ceil(math.log2(max(2, p["num_leaves"]))))
     share = min(1.0, max(0.01, float(p["colsample_bytree"])))
-    return GBTClassifier(
+    trees = GBTClassifier(
         labelCol=label,
         featuresCol="features",
         stepSize=float(p["learning_rate"]),
@@ -90,15 +96,20 @@ def boosting(params: Mapping, label: str = "label") -> GBTClassifier:
         subsamplingRate=float(p["subsample"]),
         featureSubsetStrategy="all" if share >= 1.0 else str(share),
         minInstancesPerNode=int(p["min_child_samples"]),
-        minInfoGain=float(p["min_split_gain"]),
+        minInfoGain=float(p["min_split_gain"]) / max(n_rows, 1),
         seed=int(p["random_state"]),
-        weightCol=p.get("weight_col"),
     )
+    return trees.setWeightCol(WEIGHT) if p.get("scale_pos_weight", 1) != 1 else trees
 
 
 def fit_boosting(dev: DataFrame, features: Sequence[str], params: Mapping | None = None, label: str = "label") -> PipelineModel:
+    params = params or {}
     rows = prepare(dev.filter(F.col(label).isin(0, 1)), features)
-    return Pipeline(stages=[*feature_stages(rows, features), boosting(params or {}, label)]).fit(rows)
+    n_rows = rows.count() if params.get("min_split_gain") else 1
+    positive = float(params.get("scale_pos_weight", 1) or 1)
+    if positive != 1:
+        rows = rows.withColumn(WEIGHT, F.when(F.col(label) == 1, positive).otherwise(1.0))
+    return Pipeline(stages=[*feature_stages(rows, features), boosting(params, label, n_rows)]).fit(rows)
 
 
 def score(model, df: DataFrame, features: Sequence[str], out: str = PROB) -> DataFrame:
@@ -347,16 +358,16 @@ def feature_importance_table(importances: DataFrame, dictionary: DataFrame | Non
     ).orderBy(F.desc("importance_score_gain"), "feature")
 
 
-def model_families(label: str, n_features: int, seed: int = 42, rounds: int = 20) -> dict:
+def model_families(label: str, n_features: int, seed: int = 42, rounds: int = 20, max_iter: int = 50) -> dict:
     return {
-        "logistic": LogisticRegression(labelCol=label, maxIter=50),
+        "logistic": LogisticRegression(labelCol=label, maxIter=max_iter),
         "decision_tree": DecisionTreeClassifier(labelCol=label, maxDepth=5, seed=seed),
         "random_forest": RandomForestClassifier(labelCol=label, numTrees=rounds, maxDepth=5, seed=seed),
         "boosted_trees": GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=4, seed=seed),
         "naive_bayes": NaiveBayes(labelCol=label, featuresCol="scaled"),
-        "linear_svc": LinearSVC(labelCol=label, maxIter=50),
-        "factorization_machine": FMClassifier(labelCol=label, featuresCol="scaled", maxIter=50, factorSize=4, stepSize=0.05, seed=seed),
-        "neural_net": MultilayerPerceptronClassifier(labelCol=label, featuresCol="scaled", layers=[n_features, 8, 2], maxIter=50, seed=seed),
+        "linear_svc": LinearSVC(labelCol=label, maxIter=max_iter),
+        "factorization_machine": FMClassifier(labelCol=label, featuresCol="scaled", maxIter=max_iter, factorSize=4, stepSize=0.05, seed=seed),
+        "neural_net": MultilayerPerceptronClassifier(labelCol=label, featuresCol="scaled", layers=[n_features, 8, 2], maxIter=max_iter, seed=seed),
     }
 
 
@@ -379,7 +390,7 @@ def compare_models(
                 break
             at = time.monotonic()
             scored = estimator.fit(train).transform(assembled)
-            raw = "probability" if "probability" in scored.columns and name != "naive_bayes" else "rawPrediction"
+            raw = "probability" if "probability" in scored.columns else "rawPrediction"
             scored = scored.select("dataset", label, vector_to_array(raw)[1].alias(PROB))
             perf = {r.dataset: r for r in performance(scored, PROB, label).collect()}
             rows.append((name, perf["oot"].ks, perf["oot"].auc, perf["dev"].ks, perf["dev"].auc, time.monotonic() - at))
