@@ -70,11 +70,14 @@ def after(value: float) -> float:
     return math.nextafter(float(value), math.inf) + 0.0
 
 
-def count_reached(df: DataFrame, columns: Mapping[str, str], thresholds: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Replaces each named column by how many of its increasing thresholds it reaches.
+def _search(
+    df: DataFrame, columns: Mapping[str, str], thresholds: Mapping[str, Sequence[float]], shown: Mapping[str, Sequence]
+) -> DataFrame:
+    """Replaces each named column by an entry of its ``shown`` list.
 
-    ``columns`` are SQL texts of doubles; NULL stays NULL. Columns of ``df`` that
-    are not named are kept.
+    The entry is chosen by how many thresholds the value reaches; the last entry
+    stands for NULL. Looking the number up in a constant list keeps the whole
+    result one short expression, which matters when filters on it are pushed down.
     """
     names = [n for n in columns if thresholds[n]]
     kept = [sql_name(c) for c in df.columns if c not in columns]
@@ -89,12 +92,22 @@ def count_reached(df: DataFrame, columns: Mapping[str, str], thresholds: Mapping
             outputCols=[f"_b{i}" for i in range(len(names))],
             handleInvalid="keep",
         ).transform(source)
-    found = {
-        n: f"CASE WHEN _b{i} <= {len(thresholds[n])} THEN CAST(_b{i} AS INT) END" for i, n in enumerate(names)
-    }
+    found = {}
+    for i, n in enumerate(names):
+        entries = ", ".join("CAST(NULL AS INT)" if v is None else str(v) for v in shown[n])
+        found[n] = f"element_at(array({entries}), CAST(_b{i} AS INT) + 1)"
     return source.selectExpr(*kept, *[f"{found.get(n, 'CAST(NULL AS INT)')} AS {sql_name(n)}" for n in columns])
 
 
+def count_reached(df: DataFrame, columns: Mapping[str, str], thresholds: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Replaces each named column by how many of its increasing thresholds it reaches.
+
+    ``columns`` are SQL texts of doubles; NULL stays NULL. Columns of ``df`` that
+    are not named are kept.
+    """
+    return _search(df, columns, thresholds, {n: [*range(len(thresholds[n]) + 1), None] for n in columns})
+
+
 def add_bins(
     df: DataFrame,
     columns: Mapping[str, str],
@@ -103,25 +116,18 @@ def add_bins(
     include_lowest: bool = False,
 ) -> DataFrame:
     """Replaces each named column (SQL text) by its zero-based bin, NULL outside the edges."""
-    thresholds = {}
+    thresholds, shown = {}, {}
     for n in columns:
         cut = [after(e) if closed == "right" and not math.isinf(e) else float(e) for e in edges[n]]
         if include_lowest and cut:
             cut[0] = float(edges[n][0])
         # Bucketizer brings its own infinite ends.
         thresholds[n] = [c for c in cut if not math.isinf(c)]
-    counted = count_reached(df, columns, thresholds)
-    out = []
-    for c in counted.columns:
-        name = sql_name(c)
-        if c not in columns:
-            out.append(name)
-            continue
-        # Without a finite lowest edge the first bin has passed no threshold yet.
-        first = 0 if edges[c] and math.isinf(edges[c][0]) else 1
-        last = first + len(edges[c]) - 2
-        out.append(f"CASE WHEN {name} BETWEEN {first} AND {last} THEN {name} - {first} END AS {name}")
-    return counted.selectExpr(*out)
+        bins = max(len(cut) - 1, 0)
+        below = [] if cut and math.isinf(cut[0]) else [None]
+        above = [] if cut and math.isinf(cut[-1]) else [None]
+        shown[n] = [*below, *range(bins), *above, None]
+    return _search(df, columns, thresholds, shown)
 
 
 def with_bin(

@@ -179,30 +179,31 @@ def best_transforms(rows: DataFrame, features: Sequence[str], target: str = "_ev
     The smallest F-test p-value belongs to the largest absolute correlation, so
     one aggregate over all features and transforms decides.
     """
-    aggs = []
-    for i, f in enumerate(features):
-        v = double_sql(rows, f)
-        aggs += [f"{rate_sql(f'{v} IS NULL')} AS miss{i}", f"avg({v}) AS mean{i}", f"avg(CASE WHEN {v} IS NULL THEN {target} END) AS rate{i}"]
-        for j, t in enumerate(TRANSFORMS):
-            x = transform_sql(v, t)
-            x = f"CASE WHEN {v} IS NOT NULL THEN {x} END"
-            aggs += [
-                f"regr_sxy({target}, {x}) AS sxy{i}_{j}", f"regr_sxx({target}, {x}) AS sxx{i}_{j}", f"regr_syy({target}, {x}) AS syy{i}_{j}",
-                f"avg({x}) AS mx{i}_{j}", f"count({x}) AS n{i}_{j}",
-            ]
-        aggs.append(f"avg(CASE WHEN {v} IS NOT NULL THEN {target} END) AS my{i}")
-    row = rows.selectExpr(*aggs).first()
+    # One long row per feature value keeps the number of aggregates independent
+    # of the number of features.
+    parts = ", ".join(f"{i}, {double_sql(rows, f)}" for i, f in enumerate(features))
+    long = rows.selectExpr(f"CAST({target} AS DOUBLE) AS y", f"stack({len(features)}, {parts}) AS (i, x)")
+    known = long.selectExpr(
+        "i", "y", "x", *[f"CASE WHEN x IS NOT NULL THEN {transform_sql('x', t)} END AS t{j}" for j, t in enumerate(TRANSFORMS)]
+    )
+    aggs = [
+        F.expr("avg(CASE WHEN x IS NULL THEN 1.0D ELSE 0.0D END) AS miss"), F.expr("avg(x) AS mean"),
+        F.expr("avg(CASE WHEN x IS NULL THEN y END) AS rate"), F.expr("avg(CASE WHEN x IS NOT NULL THEN y END) AS my"),
+        F.expr("count(x) AS n"),
+    ]
+    for j in range(len(TRANSFORMS)):
+        aggs += [F.expr(f"{fn}(y, t{j}) AS {fn[5:]}{j}") for fn in ("regr_sxy", "regr_sxx", "regr_syy")]
+        aggs.append(F.expr(f"avg(t{j}) AS mx{j}"))
     out = {}
-    for i, f in enumerate(features):
+    for row in known.groupBy("i").agg(*aggs).collect():
         def strength(j):
-            sxx, syy, sxy = (row[f"{k}{i}_{j}"] for k in ("sxx", "syy", "sxy"))
+            sxx, syy, sxy = (row[f"{k}{j}"] for k in ("sxx", "syy", "sxy"))
             return abs(sxy) / math.sqrt(sxx * syy) if sxx and syy and sxx > 0 and syy > 0 else -1.0
 
         best = max(range(len(TRANSFORMS)), key=lambda j: (round(strength(j), 12), -j))
-        out[f] = {
-            "missingrate": row[f"miss{i}"], "mean": row[f"mean{i}"], "missing_target": row[f"rate{i}"],
-            "besttrans": TRANSFORMS[best], "sxy": row[f"sxy{i}_{best}"], "sxx": row[f"sxx{i}_{best}"],
-            "mean_x": row[f"mx{i}_{best}"], "mean_y": row[f"my{i}"], "n": row[f"n{i}_{best}"],
+        out[features[row.i]] = {
+            "missingrate": row.miss, "mean": row.mean, "missing_target": row.rate, "besttrans": TRANSFORMS[best],
+            "sxy": row[f"sxy{best}"], "sxx": row[f"sxx{best}"], "mean_x": row[f"mx{best}"], "mean_y": row.my, "n": row.n,
         }
     return out
 
