@@ -9,7 +9,9 @@ from checks.profile import rounded
 from riskweave.operators import stability
 from riskweave.sources import demo
 
-EXPECTED = F.col("date") < demo.CUT_DATE
+def expected():
+    return F.col("date") < demo.CUT_DATE
+
 CLEAN = "(label IN (0, 1))"
 
 PSI_EDGES = f"""
@@ -37,13 +39,13 @@ PSI_BODY = "SELECT feature, round(sum((p - q) * round(ln(p / q), 4)), 6) AS {} F
 
 @query("psi_numeric", with_risk(PSI_EDGES, _psi_sql("true"), body=PSI_BODY.format("psi")))
 def psi_numeric(spark, sf_dir):
-    out = stability.psi_numeric(demo.samples_table(spark, sf_dir), demo.NUMERIC, EXPECTED)
+    out = stability.psi_numeric(demo.samples_table(spark, sf_dir), demo.NUMERIC, expected())
     return rounded(out, "psi", digits=6).select("feature", "psi")
 
 
 @query("psi_no_sentinel", with_risk(PSI_EDGES, _psi_sql(f"x.v NOT IN {SENTINEL_LIST}"), body=PSI_BODY.format("psi_valid")))
 def psi_no_sentinel(spark, sf_dir):
-    out = stability.psi_numeric(demo.samples_table(spark, sf_dir), demo.NUMERIC, EXPECTED)
+    out = stability.psi_numeric(demo.samples_table(spark, sf_dir), demo.NUMERIC, expected())
     return rounded(out, "psi_valid", digits=6).select("feature", "psi_valid")
 
 
@@ -56,7 +58,7 @@ s AS (SELECT feature, round(greatest(p, 1) / np, 8) AS p, round(greatest(q, 1) /
     body="SELECT feature, round(sum((p - q) * round(ln(p / q), 4)), 8) AS psi FROM s GROUP BY 1"))
 def psi_categorical(spark, sf_dir):
     rows = demo.risk_samples(spark, sf_dir, "date", "seg", "channel")
-    return rounded(stability.psi_categorical(rows, ["seg", "channel"], EXPECTED), "psi").select("feature", "psi")
+    return rounded(stability.psi_categorical(rows, ["seg", "channel"], expected()), "psi").select("feature", "psi")
 
 
 SCORE_PSI = f"""
@@ -74,7 +76,7 @@ s AS (SELECT *, expected / sum(expected) OVER () AS p, actual / sum(actual) OVER
 
 def _dev_oot(spark, sf_dir):
     rows = demo.scored_table(spark, sf_dir)
-    return rows.filter(EXPECTED), rows.filter(~EXPECTED)
+    return rows.filter(expected()), rows.filter(~expected())
 
 
 @query("psi_score", with_scored(SCORE_PSI, body="""
@@ -101,7 +103,7 @@ m AS (SELECT min(drift) - (max(drift) - min(drift)) * 0.2::DOUBLE AS lo, max(dri
     body="SELECT round(avg(CASE WHEN drift < lo OR drift > hi THEN 1 ELSE 0 END), 8) AS extreme_ratio FROM oot, m"))
 def psi_extreme(spark, sf_dir):
     rows = demo.samples_table(spark, sf_dir).select("date", "drift")
-    out = stability.score_psi(rows.filter(EXPECTED), rows.filter(~EXPECTED), "drift")
+    out = stability.score_psi(rows.filter(expected()), rows.filter(~expected()), "drift")
     return rounded(out, "extreme_ratio").select("extreme_ratio")
 
 
@@ -119,4 +121,4 @@ s AS (SELECT *, round(greatest(n_expected, 1) / sum(n_expected) OVER (), 8) AS p
   CAST(n_expected AS BIGINT) AS n_expected, CAST(n_actual AS BIGINT) AS n_actual, p, q, round((p - q) * ln(p / q), 4) AS psi_part FROM s"""))
 def psi_bins_retrain(spark, sf_dir):
     rows = demo.samples_table(spark, sf_dir).select("date", "amt")
-    return rounded(rounded(stability.retrain_psi(rows, "amt", EXPECTED), "lo", "hi", digits=6), "psi_part", digits=4)
+    return rounded(rounded(stability.retrain_psi(rows, "amt", expected()), "lo", "hi", digits=6), "psi_part", digits=4)
