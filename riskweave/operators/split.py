@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskweave.functions.cleaning import sql_name
 from riskweave.functions.dates import month_of
 from riskweave.operators.clean import check_range, in_range
 
@@ -109,10 +111,16 @@ def _id_place(rows: DataFrame, id_col: str, level: int) -> Column:
     key = F.col(id_col)
     if dict(rows.dtypes)[id_col] == "string":
         return F.substring(key, 1, 2 * (level + 1))
-    probs = F.array(*[F.lit(k / SKETCH_STEPS) for k in range(SKETCH_STEPS)])
-    cuts = sorted(set(rows.agg(F.percentile_approx(key, probs, 10 * SKETCH_STEPS)).first()[0]))
+    probs = ", ".join(f"{k / SKETCH_STEPS!r}D" for k in range(SKETCH_STEPS))
+    found = rows.selectExpr(
+        f"percentile_approx({sql_name(id_col)}, array({probs}), {10 * SKETCH_STEPS}) AS cuts", f"min({sql_name(id_col)}) AS low"
+    ).first()
+    # Each cut also ends right behind itself, so a frequent id gets a range of its
+    # own and every level leaves fewer ids than the one before.
+    cuts = {found.low, *found.cuts}
+    cuts = sorted(cuts | {math.nextafter(c, math.inf) if isinstance(c, float) else c + 1 for c in cuts})
     reached = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= key)
-    return F.coalesce(F.array_max(reached), F.lit(cuts[0]))
+    return F.array_max(reached)
 
 
 def split_by_hash(df: DataFrame, id_col: str, test_size: float = 0.2, random_state: int = 42) -> DataFrame:
