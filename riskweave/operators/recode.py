@@ -341,7 +341,7 @@ def continuous_recoding(profile: ContinuousProfile, prefix: str = "r_", standard
         low, high = b["lowerbound"], b["upperbound"]
         lower = f.lower()
         base = prefix + lower
-        value = F.coalesce(F.col(sql_name(f)).cast("double"), F.lit(float(b["erimpute"])))
+        value = F.coalesce(_number(f), F.lit(float(b["erimpute"])))
         first.append((base, F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high)))))
         if standard and high != low:
             second.append((f"{prefix}std_{lower}", (F.col(base) - low) / (high - low)))
@@ -360,6 +360,10 @@ def continuous_recoding(profile: ContinuousProfile, prefix: str = "r_", standard
     return [step for step in (first, second, third) if step]
 
 
+def _number(feature: str) -> Column:
+    return F.expr(f"nanvl(CAST({sql_name(feature)} AS DOUBLE), CAST(NULL AS DOUBLE))")
+
+
 def _transformed(value: float, kind: str) -> float:
     return {"square": value * value, "sqrt": math.sqrt(max(value, 0.0)), "log": math.log(max(value, 0.00001))}[kind]
 
@@ -367,7 +371,7 @@ def _transformed(value: float, kind: str) -> float:
 def _woe_column(feature: str, base: str, edges: Sequence[float], woe: dict) -> Column:
     """WOE by interval, first one closed, others open on the left; missing rows get their own."""
     col = F.col(sql_name(base))
-    out = F.when(F.col(sql_name(feature)).isNull(), F.lit(float(woe.get(None) or 0.0)))
+    out = F.when(_number(feature).isNull(), F.lit(float(woe.get(None) or 0.0)))
     for i, (a, b) in enumerate(zip(edges, edges[1:])):
         inside = (col >= a if i == 0 else col > a) & (col <= b)
         out = out.when(inside, F.lit(float(woe.get(i) or 0.0)))
