@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own_dirs: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
@@ -20,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="riskweave-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="riskweave-")
+    return _own_dirs[app]
 
 
 def write_stage(df: DataFrame, name: str) -> DataFrame:

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -14,7 +12,6 @@ def build_session(cpus: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="riskweave-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
