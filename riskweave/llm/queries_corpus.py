@@ -1 +1,70 @@
+"""Queries that compare documents with each other or share out a budget among them."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from riskweave.llm import mixing, near_copies
+from riskweave.llm.registry import documents, query
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+@query("op6_near_copies")
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.groups(documents(spark, sf_dir), near_copies.Settings(words=2))
+
+
+# Which domain a source belongs to is a parameter of the mix; here it goes by the source's number.
+DOMAIN = """CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4', 'src5', 'src6', 'src7', 'src8', 'src9') THEN 'web'
+WHEN source IN ('src10', 'src11', 'src12', 'src13', 'src14') THEN 'books'
+WHEN source IN ('src15', 'src16', 'src17', 'src18', 'src19') THEN 'reference' ELSE 'other' END"""
+WEIGHTS = {"domain": {"web": 4, "books": 4, "reference": 2}, "lang": {"en": 5, "de": 3, "fr": 2, "es": 2}}
+MIX = mixing.Plan(levels=(("domain", DOMAIN), ("lang", "lang"), ("source", "source")), weights=WEIGHTS, budget_share=700, max_epochs=2, seed=7)
+
+
+def _weight_sql(plan: mixing.Plan, level: str) -> str:
+    cases = " ".join(f"WHEN {level} = '{name}' THEN {weight}" for name, weight in plan.weights.get(level, {}).items())
+    return f"CASE {cases} ELSE 1 END" if cases else "1"
+
+
+def mixing_sql(plan: mixing.Plan, source: str, body: str) -> str:
+    """The plan in SQL: the documents ``taken``, with their epochs."""
+    names = plan.names
+    budget = str(plan.budget) if plan.budget is not None else f"(SELECT sum(tokens) * {plan.budget_share} // 1000 FROM leaves)"
+    steps, above = [], "leaf0"
+    for depth, level in enumerate(names):
+        keys, family = ", ".join(names[: depth + 1]), ", ".join(names[:depth])
+        part = f"PARTITION BY {family}" if family else ""
+        order = f"{part} ORDER BY ratio, {level} NULLS FIRST"
+        same = " AND ".join(f"l.{k} IS NOT DISTINCT FROM n.{k}" for k in names[: depth + 1])
+        steps.append(f"""
+n{depth} AS (SELECT {keys}, any_value(budget) AS given, any_value(w_{level})::HUGEINT AS w, sum(room)::HUGEINT AS node_room,
+             CASE WHEN any_value(w_{level}) > 0 THEN sum(room)::DOUBLE / any_value(w_{level})::DOUBLE ELSE 0 END AS ratio FROM {above} GROUP BY {keys}),
+o{depth} AS (SELECT *, given - coalesce(sum(node_room) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+             sum(w) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_left FROM n{depth}),
+f{depth} AS (SELECT *, node_room * w_left <= w * left_over AS is_full FROM o{depth}),
+s{depth} AS (SELECT *, CASE WHEN is_full THEN node_room ELSE
+             w * (given - coalesce(sum(node_room) FILTER (WHERE is_full) OVER ({part}), 0)) // sum(w) FILTER (WHERE NOT is_full) OVER ({part}) END AS share FROM f{depth}),
+leaf{depth + 1} AS (SELECT l.* REPLACE (n.share AS budget) FROM {above} l JOIN s{depth} n ON {same})""")
+        above = f"leaf{depth + 1}"
+    columns = ", ".join(names)
+    same = " AND ".join(f"z.{k} IS NOT DISTINCT FROM l.{k}" for k in names)
+    dead = " OR ".join(f"w_{n} <= 0" for n in names)
+    return f"""
+WITH sizes AS (SELECT doc_id, {", ".join(f"{e} AS {n}" for n, e in plan.levels)}, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n_tokens FROM {source}),
+leaves AS (SELECT {columns}, count(*) AS n_rows, sum(n_tokens)::HUGEINT AS tokens, {", ".join(f"{_weight_sql(plan, n)} AS w_{n}" for n in names)} FROM sizes GROUP BY {columns}),
+roomy AS (SELECT *, CASE WHEN {dead} THEN 0 ELSE tokens * {plan.max_epochs} END AS room FROM leaves),
+leaf0 AS (SELECT *, least({budget}, (SELECT sum(room) FROM roomy))::HUGEINT AS budget FROM roomy),
+{",".join(steps)},
+cuts AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END::BIGINT AS epochs FROM {above}),
+keyed AS (SELECT z.*, l.epochs, l.budget - l.epochs * l.tokens AS rest, md5('{plan.seed}:' || l.epochs || ':' || coalesce(z.doc_id::VARCHAR, '')) AS key
+          FROM sizes z JOIN cuts l ON {same}),
+ran AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {columns} ORDER BY key, coalesce(doc_id::VARCHAR, '')) AS upto FROM keyed),
+taken AS (SELECT doc_id, {columns}, n_tokens, unnest(range(0, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END))::BIGINT AS epoch FROM ran)
+{body}"""
+
+
+@query("op7_source_mix", mixing_sql(MIX, "documents", "SELECT * FROM taken"))
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.selected(documents(spark, sf_dir), MIX)
