@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import fingerprints, quality, token_counts
+from pyspark.sql import functions as F
+
+from riskweave.llm import fingerprints, pseudonyms, quality, secret_scan, token_counts
 from riskweave.llm.registry import documents, query
 
 
@@ -63,3 +65,19 @@ SELECT *, n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.repeat_
 @query("op3_repetition_quality", quality_sql(quality.Limits(), "SELECT * EXCLUDE (rejected), NOT (base_failed OR rejected) AS kept FROM judged"))
 def op3_repetition_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir))
+    base = F.sha2(F.col("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", base, "spans", "n_key", "n_jwt")
+
+
+#: A demonstration key; a real run passes its own.
+KEY = b"riskweave demonstration key"
+
+
+@query("op10_feistel_pseudonyms")
+def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.replace(documents(spark, sf_dir), KEY)
