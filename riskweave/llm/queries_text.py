@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import fingerprints, pseudonyms, quality, secret_scan, token_counts
+from riskweave.llm import fingerprints, language_id, license_scan, pseudonyms, quality, secret_scan, sentence_pieces, token_counts
 from riskweave.llm.registry import documents, query
 
 
@@ -81,3 +81,38 @@ KEY = b"riskweave demonstration key"
 @query("op10_feistel_pseudonyms")
 def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.replace(documents(spark, sf_dir), KEY)
+
+
+def license_sql() -> str:
+    def canonical(text: str) -> str:
+        lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        words = f"trim(regexp_replace(regexp_replace({lowered}, '{license_scan.COPYRIGHT_LINE}', '', 'g'), '{license_scan.SEPARATOR}', ' ', 'g'), ' ')"
+        listed = ", ".join(f"'{a}': '{b}'" for a, b in license_scan.SPELLINGS.items())
+        return f"array_to_string(list_transform(string_split({words}, ' '), lambda w: coalesce(MAP {{{listed}}}[w], w)), ' ')"
+
+    quoted = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in license_scan.KNOWN)
+    return f"""
+WITH texts(license, text) AS (VALUES {quoted}),
+known AS (SELECT digest, string_agg(DISTINCT license, ' / ' ORDER BY license) AS license FROM (SELECT license, sha256({canonical("text")}) AS digest FROM texts) GROUP BY digest),
+wholes AS (SELECT doc_id, CASE WHEN form <> '' THEN sha256(form) END AS text_digest FROM (SELECT doc_id, {canonical("coalesce(text, '')")} AS form FROM documents)),
+lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+forms AS (SELECT doc_id, n, {canonical("line")} AS form FROM lines),
+hits AS (SELECT doc_id, count(*) AS n_notices, string_agg(n || ':' || license, ',' ORDER BY n) AS notices
+         FROM forms JOIN known ON sha256(form) = digest WHERE form <> '' GROUP BY doc_id)
+SELECT w.doc_id, text_digest, license, coalesce(n_notices, 0)::BIGINT AS n_notices, coalesce(notices, '') AS notices
+FROM wholes w LEFT JOIN known k ON w.text_digest = k.digest LEFT JOIN hits USING (doc_id)"""
+
+
+@query("op5_license_digests", license_sql())
+def op5_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+@query("op4_unigram_pieces")
+def op4_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op8_language_forward")
+def op8_language_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
