@@ -23,6 +23,7 @@ from collections.abc import Iterable
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.llm.license_texts import KNOWN
 from riskweave.llm.staging import BROADCAST_ROWS
@@ -65,13 +66,13 @@ def digest(text: str) -> str | None:
     return hashlib.sha256(text.encode()).hexdigest() if text else None
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def text_digest(text: pa.Array) -> pa.Array:
     """text -> digest of the whole text."""
     return pa.array([digest(own.as_py() or "") for own in text], pa.string())
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def line_digests(text: pa.Array) -> pa.Array:
     """text -> digest of each line, null for lines with nothing left."""
     return pa.array([[digest(line) for line in (own.as_py() or "").split("\n")] for own in text], pa.list_(pa.string()))
