@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("clean", "profile", "bins", "stability", "selection", "metrics", "recoding", "models", "stages")
+MODULES = ("clean", "profile", "bins", "stability", "selection", "metrics", "recoding", "models", "given", "stages")
 
 
 def load() -> tuple[dict, dict]:

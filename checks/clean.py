@@ -90,6 +90,20 @@ def split_date_proportion(spark, sf_dir):
     return split.split_by_date_proportion(demo.risk_samples(spark, sf_dir, "id", "date"), "date", "id", 0.2)
 
 
+NULL_IDS = "nid AS (SELECT CASE WHEN id % 11 <> 0 THEN id END AS id, date, amt FROM risk_samples)"
+
+
+@query("split_date_proportion_null_ids", with_risk(NULL_IDS, body="""
+SELECT dataset, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(id) AS BIGINT) AS n_ids, CAST(sum(id) AS BIGINT) AS sum_ids, min(date) AS min_date, max(date) AS max_date
+FROM (SELECT id, date, CASE WHEN row_number() OVER (ORDER BY date, id NULLS FIRST) <= (SELECT floor(count(*) * (1 - 0.3::DOUBLE)) FROM nid)
+  THEN 'dev' ELSE 'oot' END AS dataset FROM nid) GROUP BY 1"""))
+def split_date_proportion_null_ids(spark, sf_dir):
+    """Rows without an id come first on their date; which of them the cut takes doesn't show in the sums."""
+    rows = demo.risk_samples(spark, sf_dir, "id", "date", "amt").withColumn("id", F.when(F.col("id") % 11 != 0, F.col("id")))
+    out = split.split_by_date_proportion(rows, "date", "id", 0.3)
+    return out.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"), F.count("id").alias("n_ids"), F.sum("id").alias("sum_ids"), F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+
+
 HASH = "CAST(('0x' || substr(md5(concat_ws('-', CAST(id AS VARCHAR), '42')), 1, 8)) AS BIGINT)"
 
 
@@ -138,8 +152,8 @@ def split_dates(spark, sf_dir):
 
 @query("merge_samples", with_risk(body="""
 SELECT a.id, a.date, a.label, a.channel, a.amt, b.bal, c.seg FROM risk_samples a
-JOIN risk_samples b ON a.id = b.id AND a.date = b.date AND a.label = b.label AND a.channel = b.channel
-JOIN risk_samples c ON a.id = c.id AND a.date = c.date AND a.label = c.label AND a.channel = c.channel"""))
+JOIN risk_samples b ON a.id = b.id AND a.date = b.date AND a.label IS NOT DISTINCT FROM b.label AND a.channel = b.channel
+JOIN risk_samples c ON a.id = c.id AND a.date = c.date AND a.label IS NOT DISTINCT FROM c.label AND a.channel = c.channel"""))
 def merge_samples(spark, sf_dir):
     base = SPEC.base_fea
     tables = [demo.risk_samples(spark, sf_dir, *base, f) for f in ("amt", "bal", "seg")]

@@ -162,12 +162,13 @@ def score_transfer(spark, sf_dir):
     return demo.scored(spark, sf_dir).select("id", to_points(F.col("prob_")).alias("score_"))
 
 
-def _three_way_sql():
+def _three_way_sql(*first, source="scored"):
     counts = ", ".join(
         f"count(*) FILTER (ds = '{d}' AND label = {v}) AS {d}_{v}" for d in ("dev", "oot") for v in (0, 1)
     )
     return with_scored(
-        f"p AS (SELECT {POINTS} AS s, label, date FROM scored)",
+        *first,
+        f"p AS (SELECT {POINTS} AS s, label, date FROM {source})",
         """x AS (SELECT s, label, 'dev' AS ds FROM p WHERE date < 19990101 UNION ALL SELECT s, label, 'oot' FROM p WHERE date >= 19990101
            UNION ALL SELECT s, label, 'psi' FROM p WHERE date >= 20000101)""",
         "m AS (SELECT min(s) FILTER (s > -1) AS lo, max(s) AS hi FROM x WHERE ds = 'dev')",

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from checks.common import SENTINEL_LIST, long_numeric, query, union, with_risk
 from checks.profile import rounded
+from riskweave.functions.cleaning import double_sql
 from riskweave.operators import importance, regression, rules, select
+from riskweave.operators.quantiles import exact_quantiles
 from riskweave.operators.woe import binary_rows
 from riskweave.sources import demo
 
@@ -121,6 +123,30 @@ def variance_inflation(spark, sf_dir):
     return select.variance_inflation(rows, ["amt", "nation", "n_lines", "sum_qty", "drift", "sig"])
 
 
+@query("variance_inflation_three", with_risk("k AS (SELECT CAST(amt AS DOUBLE) AS a, CAST(n_lines AS DOUBLE) AS b, CAST(sum_qty AS DOUBLE) AS c FROM risk_samples WHERE amt IS NOT NULL AND n_lines IS NOT NULL AND sum_qty IS NOT NULL)",
+    "r AS (SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc FROM k)",
+    "d AS (SELECT *, 1 + 2 * ab * ac * bc - ab * ab - ac * ac - bc * bc AS det FROM r)", body="""
+SELECT 'amt' AS feature, round((1 - bc * bc) / det, 5) AS vif FROM d UNION ALL SELECT 'n_lines', round((1 - ac * ac) / det, 5) FROM d
+UNION ALL SELECT 'sum_qty', round((1 - ab * ab) / det, 5) FROM d UNION ALL SELECT 'konst', NULL"""))
+def variance_inflation_three(spark, sf_dir):
+    """Three features, against the closed form, and a constant one, which has none."""
+    rows = demo.samples_table(spark, sf_dir)
+    return rounded(select.variance_inflation(rows, ["amt", "n_lines", "sum_qty", "konst"]), "vif", digits=5)
+
+
+QUARTILES = ("amt", "bal", "sig", "max_disc")
+
+
+@query("quantiles_bracketed", with_risk(f"x AS ({long_numeric(QUARTILES)})", body="""
+SELECT feature, round(quantile_cont(v, 0.1), 6) AS p10, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.99), 6) AS p99 FROM x WHERE v IS NOT NULL GROUP BY 1"""))
+def quantiles_bracketed(spark, sf_dir):
+    """A sketch of 50 cells, so that every quantile is looked up between brackets."""
+    rows = demo.samples_table(spark, sf_dir)
+    found, _ = exact_quantiles(rows, {f: (double_sql(rows, f), [0.1, 0.5, 0.99]) for f in QUARTILES}, accuracy=50)
+    table = [(f, *[round(v, 6) for v in vs]) for f, vs in found.items()]
+    return spark.createDataFrame(table, "feature string, p10 double, p50 double, p99 double")
+
+
 NULLS = f"""
 x AS ({long_numeric(('amt', 'bal', 'sum_qty', 'sig'), keep='channel')}),
 actual AS (SELECT feature, avg(abs(v)) AS gain, CAST(count(v) AS DOUBLE) AS split FROM x GROUP BY 1),
@@ -164,7 +190,7 @@ def stepwise_logistic(spark, sf_dir):
 @query("stepwise_linear")
 def stepwise_linear(spark, sf_dir):
     dev, _ = dev_oot(spark, sf_dir)
-    return regression.stepwise_linear(dev, ["bal_dup", "nation", "n_lines", "sum_qty", "sig"], "amt", alpha=0.2)
+    return regression.stepwise_linear(dev, ["bal_dup", "nation", "n_lines", "amt", "sig"], "sum_qty")
 
 
 CONDITIONS = {"sig": "CAST(least(floor(sig / 100), 11) AS BIGINT)", "nation": "nation", "channel": "channel", "lines": "n_lines"}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.clean import CLEANED, MONTH, SPLIT, STATS, SPEC
 from checks.common import interpolated, long_numeric, query, union, with_risk, with_scored
-from checks.metrics import AUC, KS, LEVELS, POINTS
+from checks.metrics import AUC, KS, LEVELS, POINTS, _three_way_sql
 from checks.models import FEATURES as MODEL_FEATURES, SMALL, three_samples
 from checks.profile import CONCENTRATED, TOKENS, _values_sql, rounded
 from checks.selection import FEATURES as ALL_FEATURES, STATS_SQL, dev_oot, stats
@@ -21,6 +21,12 @@ from riskweave.session import shared_dir
 from riskweave.sources import demo, samples
 
 
+SPLIT_CONFIG = SplitSettings(train_split_range=(19950101, 19981231), oot_split_range=(19990101, 20010801), psi_split_range=(20000101, 20010801))
+
+
+BANDS_OF_ALL = _three_way_sql("everyone AS (SELECT date, label, (CAST(sig AS BIGINT) * 8 + (id * 31) % 800) / CAST(10000 AS DOUBLE) AS prob_ FROM risk_samples)", source="everyone")
+
+
 def fresh_path(spark, name):
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
 
@@ -32,9 +38,9 @@ def csv_roundtrip(spark, sf_dir):
     return samples.read_samples(spark, path, SPEC.base_fea).withColumn("label", F.col("label").cast("int"))
 
 
-@query("read_by_config", with_risk(body="SELECT id, date, label, channel, amt, bal, sig FROM risk_samples WHERE label IS NOT NULL"))
+@query("read_by_config", with_risk(body="SELECT id, date, label, channel, amt, bal, sig FROM risk_samples"))
 def read_by_config(spark, sf_dir):
-    rows = demo.risk_samples(spark, sf_dir, "id", "date", "label", "channel", "amt", "bal", "sig").filter("label IS NOT NULL")
+    rows = demo.risk_samples(spark, sf_dir, "id", "date", "label", "channel", "amt", "bal", "sig")
     path = samples.write_table(rows, fresh_path(spark, "source"))
     return samples.read_by_config(
         spark, {"data_path": path, "base_fea": ["id", "date", "label", "channel"], "batch_columns": True, "batch_size": 2, "save_path": fresh_path(spark, "joined")}
@@ -182,6 +188,42 @@ def evaluation_lift(spark, sf_dir):
     return rounded(out, "first_share", "first_lift", "second_share", "second_lift")
 
 
+# Every row scored, also grey and unlabelled ones; psi overlaps with oot.
+EVERYONE = """
+everyone AS (SELECT id, date, label, channel, bal, sig, (CAST(sig AS BIGINT) * 8 + (id * 31) % 800) / CAST(10000 AS DOUBLE) AS prob_ FROM risk_samples)"""
+
+
+def everyone(spark, sf_dir):
+    rows = demo.risk_samples(spark, sf_dir, "id", "date", "label", "channel", "bal", "sig")
+    rows = rows.withColumn("prob_", (F.col("sig").cast("bigint") * 8 + (F.col("id") * 31) % 800) / F.lit(10000.0))
+    sets = F.array_compact(F.array(
+        F.when(F.col("date") < demo.CUT_DATE, F.lit("dev")).otherwise(F.lit("oot")), F.when(F.col("date") >= 20000101, F.lit("psi")),
+    ))
+    return rows.select("*", F.explode(sets).alias("dataset"))
+
+
+@query("evaluation_stability", with_risk(EVERYONE, SCORE_PSI.replace("scored", "everyone").replace(">= 19990101", ">= 20000101"), body="""
+SELECT round(sum((q - p) * least(greatest(ln(q / p), -10), 10)), 8) AS psi,
+  CASE WHEN sum((q - p) * least(greatest(ln(q / p), -10), 10)) < 0.1 THEN 'stable' ELSE 'unstable' END AS verdict FROM s"""))
+def evaluation_stability(spark, sf_dir):
+    """Score distribution of dev against psi, over all rows of both."""
+    return rounded(report.evaluation_report(everyone(spark, sf_dir))["stability"], "psi").select("psi", "verdict")
+
+
+@query("evaluation_reproduction", with_risk(EVERYONE, f"""
+x AS (SELECT *, CASE WHEN date < 19990101 THEN 'dev' ELSE 'oot' END AS dataset, {POINTS} AS score_ FROM everyone
+  UNION ALL SELECT *, 'psi', {POINTS} FROM everyone WHERE date >= 20000101)""", body=f"SELECT dataset, id, date, label, channel, sig, prob_, score_, {MONTH} AS month FROM x"))
+def evaluation_reproduction(spark, sf_dir):
+    return samples.reproduction_rows(everyone(spark, sf_dir).withColumn("score_", to_points(F.col("prob_"))), SPEC.base_fea, ["sig"])
+
+
+@query("evaluation_bands", BANDS_OF_ALL)
+def evaluation_bands(spark, sf_dir):
+    """Bands of the dev scores; psi counts hold grey and unlabelled rows."""
+    rows = everyone(spark, sf_dir).withColumn("score", to_points(F.col("prob_")))
+    return score.band_table(rows.select("score", "label", "dataset"), "score")
+
+
 @query("stage_profile", with_risk(body="""
 SELECT 'all' AS "group", CAST(count(label) AS BIGINT) AS total_samples FROM risk_samples"""))
 def stage_profile(spark, sf_dir):
@@ -190,13 +232,23 @@ def stage_profile(spark, sf_dir):
     return tables["default_rates"].filter("dim = 'all'").select("group", "total_samples")
 
 
-@query("stage_split", with_risk(CLEANED, body=f"""
-SELECT dataset, 'Overall' AS month, {STATS} FROM (SELECT *, 'dev' AS dataset FROM cleaned WHERE date < 19990101
-  UNION ALL SELECT *, 'oot' FROM cleaned WHERE date >= 19990101) GROUP BY 1"""))
+SPLIT_ROWS = """z AS (SELECT *, 'dev' AS dataset FROM cleaned WHERE date < 19990101 UNION ALL SELECT *, 'oot' FROM cleaned WHERE date >= 19990101
+  UNION ALL SELECT *, 'psi' FROM cleaned WHERE date >= 20000101)"""
+
+
+@query("stage_split", with_risk(CLEANED, SPLIT_ROWS, body=f"""
+SELECT dataset, 'Overall' AS month, {STATS} FROM z WHERE dataset <> 'psi' GROUP BY 1
+UNION ALL SELECT dataset, {MONTH}, {STATS} FROM z WHERE dataset <> 'psi' GROUP BY 1, 2"""))
 def stage_split(spark, sf_dir):
-    cfg = SplitSettings(train_split_range=(19950101, 19981231), oot_split_range=(19990101, 20010801), psi_split_range=(20000101, 20010801))
-    tables = stages.split_stage(demo.samples_table(spark, sf_dir).drop("cust"), cfg)
-    return rounded(tables["target_stats"].filter("month = 'Overall'"), "bad_rate")
+    """All sample statistics of the stage, overall and by month."""
+    tables = stages.split_stage(demo.samples_table(spark, sf_dir).drop("cust"), SPLIT_CONFIG)
+    return rounded(tables["target_stats"], "bad_rate")
+
+
+@query("stage_split_rows", with_risk(CLEANED, SPLIT_ROWS, body="SELECT * FROM z"))
+def stage_split_rows(spark, sf_dir):
+    """The samples that the stage writes, every row and column."""
+    return stages.split_stage(demo.samples_table(spark, sf_dir), SPLIT_CONFIG)["samples"]
 
 
 @query("stage_select", f"""

@@ -1,4 +1,4 @@
-"""Runs one stage: ``spark-submit --py-files ... -m riskweave <stage> -conf <file.json>``."""
+"""Runs one stage: ``spark-submit ... -m riskweave <stage> -conf <file.json>``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from riskweave.plans.configs import STAGES
 from riskweave.plans.stages import run_stage
+from riskweave.session import ship_package
 
 
 def main() -> None:
@@ -18,7 +19,9 @@ def main() -> None:
     args = parser.parse_args()
     with open(args.conf, encoding="utf-8") as f:
         config = json.load(f)
-    run_stage(SparkSession.builder.appName(f"riskweave {args.stage}").getOrCreate(), args.stage, config)
+    spark = SparkSession.builder.appName(f"riskweave {args.stage}").getOrCreate()
+    ship_package(spark)
+    run_stage(spark, args.stage, config)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -18,12 +19,16 @@ from riskweave.operators.train import feature_stages, prepare, tree_importances
 # Size of the forests and the number of shuffled runs.
 TREES, DEPTH, ROW_SHARE, COLUMN_SHARE = 60, 4, 0.6, "0.8"
 NULL_RUNS = 80
+#: Rows of a hash range that one task numbers.
+RANGE_ROWS = 100_000
 
 
 def _assemble(df: DataFrame, features: Sequence[str], label: str, id_col: str) -> DataFrame:
     rows = prepare(df.filter(F.col(label).isin(0, 1)), features)
     ready = Pipeline(stages=feature_stages(rows, features)).fit(rows).transform(rows)
-    return ready.select(F.col(id_col).alias("_id"), F.col(label).cast("double").alias("_y"), "features")
+    # Rows of one id differ by their features, so a frequent id spreads over the hash ranges too.
+    row = F.xxhash64(F.col(id_col), vector_to_array("features"), F.col(label)).alias("_row")
+    return ready.select(F.col(id_col).alias("_id"), F.col(label).cast("double").alias("_y"), "features", row)
 
 
 def _fit(rows: DataFrame, features: Sequence[str], name: str, trees: int, seed: int, with_auc: bool) -> DataFrame:
@@ -45,21 +50,23 @@ def shuffled_labels(rows: DataFrame, run: int) -> DataFrame:
     equal places meet. Places are counted per hash range, so no task orders the
     whole table, and the numbers of good and bad labels stay the same.
     """
+    bits = max(1, math.ceil(math.log2(max(2, rows.count() / RANGE_ROWS))))
+
     def numbered(df, salt):
-        hashed = df.withColumn("_h", F.xxhash64("_id", F.lit(f"{salt}-{run}")))
-        # The top byte of a hash cuts the rows into even ranges.
-        ranged = hashed.withColumn("_part", F.shiftright("_h", 56))
+        hashed = df.withColumn("_h", F.xxhash64("_row", F.lit(f"{salt}-{run}")))
+        # The top bits of a hash cut the rows into even ranges.
+        ranged = hashed.withColumn("_part", F.shiftright("_h", 64 - bits))
         sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-        # 256 rows at most.
+        # One row for each range.
         before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
         starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
         inside = F.row_number().over(Window.partitionBy("_part").orderBy("_h", "_id"))
-        return ranged.withColumn("_in", inside).join(F.broadcast(starts), "_part").withColumn(
+        return ranged.withColumn("_in", inside).join(starts, "_part").withColumn(
             "_place", F.col("_start") + F.col("_in")
         ).drop("_h", "_part", "_in", "_start")
 
-    left = numbered(rows.select("_id", "features"), "row")
-    right = numbered(rows.select("_id", "_y"), "label").select("_place", "_y")
+    left = numbered(rows.select("_id", "_row", "features"), "row")
+    right = numbered(rows.select("_id", "_row", "_y"), "label").select("_place", "_y")
     return left.join(right, "_place").select("_id", "_y", "features")
 
 

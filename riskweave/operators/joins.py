@@ -12,11 +12,25 @@ from pyspark.sql import functions as F
 def merge_samples(tables: Sequence[DataFrame], features: Sequence[Sequence[str]], base: Sequence[str]) -> DataFrame:
     """Inner join of sample tables on the base columns, keeping chosen features of each.
 
-    All joins share one key list, so the shuffles of the chain are reused and
-    skewed keys are split by adaptive execution.
+    A missing key equals a missing key. All joins share one key list, so the
+    shuffles of the chain are reused and skewed keys are split by adaptive execution.
     """
     picked = [t.select(*base, *names) for t, names in zip(tables, features)]
-    return reduce(lambda a, b: a.join(b, list(base), "inner"), picked)
+    return reduce(lambda a, b: null_safe_join(a, b, base), picked)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys where NULL equals NULL; an outer join fills the keys from whichever side has the row."""
+    names = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    renamed = right.withColumnsRenamed(names)
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()])
+    joined = left.join(renamed, same, how)
+    own = {k: F.col(f"`{k}`") for k in keys}
+    if how != "inner":
+        # Where the left row is absent its keys are NULL, and so are those of a left row without keys: then both agree.
+        own = {k: F.coalesce(F.col(f"`{k}`"), F.col(n)) for k, n in names.items()}
+    rest = [c for c in [*left.columns, *right.columns] if c not in names]
+    return joined.select(*[c.alias(k) for k, c in own.items()], *[F.col(f"`{c}`") for c in rest])
 
 
 def by_column_batches(
@@ -31,7 +45,7 @@ def by_column_batches(
     for at in range(0, len(features), batch_size):
         names = list(features[at : at + batch_size])
         parts.append(process(df.select(*keys, *names), names))
-    return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), parts)
+    return reduce(lambda a, b: null_safe_join(a, b, keys, "full_outer"), parts)
 
 
 def feature_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.bins import with_bin, with_infinite_ends
 from riskweave.operators.binning import level_edges, quantile_edges
 from riskweave.operators.quantiles import running_totals
+from riskweave.session import write_stage
 
 LEVELS = 10
 
@@ -51,7 +52,8 @@ def ranking(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     AUC gives tied scores half weight; both metrics are NULL when a class is missing.
     """
     keys = list(keys)
-    placed = running_totals(counts, "score", ["good", "bad"], keys)
+    counts = write_stage(counts, "score_counts")
+    placed = running_totals(counts, "score", ["good", "bad"], keys, written=True)
     totals = counts.groupBy(*keys).agg(F.sum("good").alias("_g"), F.sum("bad").alias("_b"))
     if keys:
         condition = None

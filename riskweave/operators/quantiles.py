@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.bins import after, count_reached
 from riskweave.functions.cleaning import sql_name
-from riskweave.session import shuffle_width
+from riskweave.session import shuffle_width, write_stage
 
 SKETCH_ACCURACY = 10_000
 FEATURES_PER_PASS = 50
+BUCKET_ROWS = 200_000
 
 
 def exact_quantiles(
@@ -193,9 +194,10 @@ def with_range_bucket(df: DataFrame, name: str, out: str = "_bucket") -> DataFra
     """Adds the ordered bucket number of a double column, cut where the data is dense.
 
     The cut points are fixed numbers taken from one sketch pass, so a recomputed
-    task puts every row into the same bucket again.
+    task puts every row into the same bucket again. There are as many buckets as
+    the shuffle is wide, more where a bucket would exceed ``BUCKET_ROWS``.
     """
-    buckets = max(2, min(shuffle_width(df.sparkSession), 2000))
+    buckets = max(2, shuffle_width(df.sparkSession), math.ceil(df.count() / BUCKET_ROWS))
     value = f"CAST({sql_name(name)} AS DOUBLE)"
     probs = ", ".join(f"{k / buckets!r}D" for k in range(1, buckets))
     cuts = df.selectExpr(f"percentile_approx({value}, array({probs}), {10 * buckets})").first()[0]
@@ -206,15 +208,17 @@ def with_range_bucket(df: DataFrame, name: str, out: str = "_bucket") -> DataFra
 
 
 def running_totals(
-    df: DataFrame, order: str, measures: Sequence[str], keys: Sequence[str] = (), before: str = "below_"
+    df: DataFrame, order: str, measures: Sequence[str], keys: Sequence[str] = (), before: str = "below_", written: bool = False
 ) -> DataFrame:
     """Adds the sum of each measure over all rows ordered before the current one.
 
     Works on rows that are unique in (keys, order). Each ordered bucket is
     summed on its own and shifted by the total of the buckets below it, so no
-    task sees more than a bucket even when one key holds most rows.
+    task sees more than a bucket even when one key holds most rows. The rows are
+    written once (unless they already are), because count, sketch, totals and windows all read them.
     """
     keys = list(keys)
+    df = df if written else write_stage(df, "running_totals")
     cut = with_range_bucket(df, order)
     totals = cut.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
     # One row per key and bucket here; the window stays as small as the bucket count.

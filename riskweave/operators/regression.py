@@ -67,8 +67,10 @@ def stepwise_logistic(
             ready = VectorAssembler(inputCols=list(names), outputCol="features").transform(rows)
             model = GeneralizedLinearRegression(family="binomial", labelCol="_y", maxIter=25).fit(ready)
             return dict(zip(names, model.summary.pValues))
-        except Exception:  # a singular candidate is passed over
-            return None
+        except Exception as failed:
+            if "singular" in str(failed).lower():  # such a candidate is passed over
+                return None
+            raise
 
     try:
         with ThreadPool(parallelism) as pool:

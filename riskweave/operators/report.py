@@ -61,10 +61,6 @@ def split_overview(raw: DataFrame, cleaned: DataFrame, split: DataFrame, channel
     )
 
 
-def split_rows(split: DataFrame, date_col: str = "date", label: str = "label") -> DataFrame:
-    return split_report(split, date_col, label)
-
-
 def selection_report(stats: DataFrame, kept: Sequence[str], k: int = 10) -> DataFrame:
     """Counts of all, kept and removed features beside the best kept features."""
     names = stats.sparkSession.createDataFrame([(f,) for f in kept], "feature string")
@@ -95,7 +91,7 @@ def training_report(metrics_row: DataFrame, importances: DataFrame, k: int = 15)
 
 def leaderboard_report(board: DataFrame, k: int = 15) -> DataFrame:
     rounded = [F.bround(c, 4).alias(c) for c in ("ks_test", "auc_test", "ks_train", "auc_train")]
-    return top_rows(board.select("model", *rounded), k, F.desc("ks_test"), "model")
+    return top_rows(board.select("model", "status", *rounded), k, F.desc_nulls_last("ks_test"), "model")
 
 
 def model_effect(scored: DataFrame, score: str = "prob_", group: str = "channel", label: str = "label", dataset: str = "dataset") -> DataFrame:
@@ -116,18 +112,22 @@ def model_effect(scored: DataFrame, score: str = "prob_", group: str = "channel"
 def evaluation_report(
     scored: DataFrame, score: str = "prob_", group: str = "channel", label: str = "label", date_col: str = "date", bin_num: int = 10
 ) -> dict[str, DataFrame]:
-    """Performance with date ranges, stability verdict, level lifts and their overview."""
+    """Performance with date ranges, stability of dev against psi, level lifts and their overview.
+
+    ``scored`` holds all rows of dev, oot and psi: rows without a binary label count for stability only.
+    """
     effect = model_effect(scored, score, group, label)
-    dates = date_bounds(scored.filter(F.col("dataset").isin("dev", "oot")), date_col).drop("n_rows")
+    dates = date_bounds(scored.filter(F.col("dataset").isin("dev", "oot") & F.col(label).isin(0, 1)), date_col).drop("n_rows")
     overall = effect.filter("dim = 'overall'").drop("dim", "col").join(dates, "dataset")
-    dev, oot = scored.filter("dataset = 'dev'"), scored.filter("dataset = 'oot'")
-    psi = score_psi(dev, oot, score).withColumn("verdict", verdict(F.col("psi")))
+    dev, psi_rows = scored.filter("dataset = 'dev'"), scored.filter("dataset = 'psi'")
+    psi = score_psi(dev, psi_rows, score).withColumn("verdict", verdict(F.col("psi")))
+    oot = scored.filter((F.col("dataset") == "oot") & F.col(label).isin(0, 1))
     levels = metrics.level_table(oot, score, label, bin_num)
     return {
         "performance": overall,
         "stability": psi,
         "channels": effect.filter(f"dim = '{group}' AND dataset = 'oot'").drop("dim", "dataset"),
-        "lift_levels": levels.filter("level <= 10"),
+        "lift_levels": levels,
         "lift_overview": lift_overview(levels),
         "model_effect": effect,
     }

@@ -19,15 +19,20 @@ def lift_rules(
 ) -> DataFrame:
     """All rules of binned features with enough coverage and lift.
 
-    ``conditions`` maps a feature to its discrete value. Rows are first combined
-    per full value combination, so the expansion into feature pairs works on
-    combinations, not on rows.
+    ``conditions`` maps a feature to its discrete value. No pair covers more than
+    either of its parts, so values under the coverage are blanked before rows
+    are combined and pairs are formed; a feature keeps 1 / ``min_covered_rate`` values at most.
     """
     names = list(conditions)
     rows = df.filter(F.col(label).isin(0, 1)).select(
         label, *[c.cast("string").alias(n) for n, c in conditions.items()]
     )
-    combos = rows.groupBy(*names).agg(
+    total = rows.count()
+    single = rows.unpivot([], names, "feature", "value").where("value IS NOT NULL").groupBy("feature", "value").count()
+    covered: dict[str, list[str]] = {n: [] for n in names}
+    for r in single.where(F.col("count") >= min_covered_rate * total).collect():
+        covered[r.feature].append(r.value)
+    combos = rows.select(label, *[F.when(F.col(n).isin(covered[n]), F.col(n)).alias(n) for n in names]).groupBy(*names).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_bad")
     )
     sets = [[n] for n in names]

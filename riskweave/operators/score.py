@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from riskweave.operators import train
 from riskweave.operators.binning import equal_width_bands
 from riskweave.operators.metrics import performance
 from riskweave.operators.stability import retrain_psi
+from riskweave.session import write_stage
 
 DIGITS = 8
 
@@ -62,14 +62,15 @@ def retrain_check(
     """Refits with the saved parameters and measures the refit on dev, oot and psi.
 
     Returns the one-row result, the rescored samples and the model. ``samples``
-    has a ``dataset`` column with dev, oot and psi.
+    has a ``dataset`` column with dev, oot and psi. The fit and the measures
+    against the label use binary rows, the score distributions all rows.
     """
-    rows = samples.filter(F.col(label).isin(0, 1))
-    model = train.fit_boosting(rows.filter("dataset = 'dev'"), features, params, label)
-    scored = train.score(model, rows, features).withColumn("score", to_points(F.col(train.PROB), p0, pdo, theta))
-    scored = scored.select("dataset", label, train.PROB, "score").persist(StorageLevel.MEMORY_AND_DISK)
-    by_prob = {r.dataset: r for r in performance(scored, train.PROB, label).collect()}
-    by_score = {r.dataset: r for r in performance(scored, "score", label, higher_is_good=True).collect()}
+    model = train.fit_boosting(samples.filter("dataset = 'dev'"), features, params, label)
+    scored = train.score(model, samples, features).withColumn("score", to_points(F.col(train.PROB), p0, pdo, theta))
+    scored = write_stage(scored.select("dataset", label, train.PROB, "score"), "rescored")
+    binary = scored.filter(F.col(label).isin(0, 1))
+    by_prob = {r.dataset: r for r in performance(binary, train.PROB, label).collect()}
+    by_score = {r.dataset: r for r in performance(binary, "score", label, higher_is_good=True).collect()}
     result = {"n_features": len(features)}
     for ds in ("dev", "oot"):
         result.update({

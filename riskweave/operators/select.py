@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,7 +16,6 @@ from riskweave.operators.stability import psi_categorical, psi_numeric
 from riskweave.operators.woe import iv_categorical, iv_numeric
 from riskweave.spec import SENTINELS, VALID_ABOVE
 
-PAIRS_PER_PASS = 45
 
 
 def _known(df: DataFrame, name: str) -> str:
@@ -121,27 +119,11 @@ def check_manual_list(df: DataFrame, wanted: Sequence[str]) -> None:
 def correlation_matrix(df: DataFrame, features: Sequence[str], sentinels: bool = True) -> DataFrame:
     """Pearson correlation of every pair (i before j) over rows where both are known.
 
-    A few features: one aggregate per pair. Many: each task adds up masked
-    cross products of its rows and only the sums per pair are shuffled.
+    Each task adds up masked cross products of its rows and only the sums per pair are shuffled.
     """
     value = {f: (_known(df, f) if sentinels else double_sql(df, f)) for f in features}
-    pairs = list(itertools.combinations(range(len(features)), 2))
     rows = df.selectExpr(*[f"{value[f]} AS x{i}" for i, f in enumerate(features)])
-    if len(pairs) <= PAIRS_PER_PASS:
-        # Sums of squares and products over the rows where both are known; ``corr``
-        # itself fails on a constant feature in ANSI mode.
-        aggs = [
-            f"CASE WHEN regr_sxx(x{j}, x{i}) > 0 AND regr_syy(x{j}, x{i}) > 0 THEN regr_sxy(x{j}, x{i})"
-            f" / (sqrt(regr_sxx(x{j}, x{i})) * sqrt(regr_syy(x{j}, x{i}))) END AS r{k}"
-            for k, (i, j) in enumerate(pairs)
-        ]
-        cells = [
-            f"struct({sql_text(features[i])} AS feature_i, {sql_text(features[j])} AS feature_j, r{k} AS r)"
-            for k, (i, j) in enumerate(pairs)
-        ]
-        table = rows.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(cells)}))")
-    else:
-        table = _correlation_by_sums(rows, features)
+    table = _correlation_by_sums(rows, features)
     return table.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
 
 
@@ -245,17 +227,30 @@ def select_features(
 def variance_inflation(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Variance inflation of each feature: the diagonal of the inverse correlation matrix.
 
-    Rows with a missing feature are left out, as a regression would.
+    Rows with a missing feature are left out, as a regression would. A feature
+    that the others determine has an infinite inflation, a constant one has none (NULL).
     """
     complete = df.selectExpr(*[f"{double_sql(df, f)} AS {sql_name(f)}" for f in features]).dropna()
-    pairs = {(r.feature_i, r.feature_j): r.r for r in correlation_matrix(complete, features, sentinels=False).collect()}
-    p = len(features)
-    matrix = np.eye(p)
-    for i, j in itertools.combinations(range(p), 2):
-        matrix[i, j] = matrix[j, i] = pairs.get((features[i], features[j])) or 0.0
-    try:
-        diagonal = np.diag(np.linalg.inv(matrix))
-    except np.linalg.LinAlgError:
-        diagonal = np.diag(np.linalg.pinv(matrix))
-    rows = [(f, float(v)) for f, v in zip(features, diagonal)]
+    found = {(r.feature_i, r.feature_j): r.r for r in correlation_matrix(complete, features, sentinels=False).collect()}
+    ends = complete.agg(*[F.min(F.col(f"`{f}`")).alias(f"lo{i}") for i, f in enumerate(features)], *[F.max(F.col(f"`{f}`")).alias(f"hi{i}") for i, f in enumerate(features)]).first()
+    varying = [f for i, f in enumerate(features) if ends[f"lo{i}"] is not None and ends[f"lo{i}"] < ends[f"hi{i}"]]
+    place = {f: i for i, f in enumerate(varying)}
+    matrix = np.eye(len(varying))
+    for (a, b), r in found.items():
+        if a in place and b in place and r is not None:
+            matrix[place[a], place[b]] = matrix[place[b], place[a]] = r
+    rows = [(f, _inflation(matrix, place[f]) if f in place else None) for f in features]
     return df.sparkSession.createDataFrame(rows, "feature string, vif double")
+
+
+#: Share of a feature's variance, left over by the others, under which it counts as determined.
+COLLINEAR = 1e-10
+
+
+def _inflation(matrix, k: int) -> float:
+    """1 over the share of variance that a regression on the other features leaves."""
+    others = np.delete(np.arange(len(matrix)), k)
+    r = matrix[others, k]
+    beta = np.linalg.lstsq(matrix[np.ix_(others, others)], r, rcond=1e-12)[0]
+    rest = 1.0 - float(r @ beta)
+    return float("inf") if rest < COLLINEAR else max(1.0, 1.0 / rest)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.cleaning import sql_name
 from riskweave.functions.dates import month_of
 from riskweave.operators.clean import check_range, in_range
+from riskweave.session import write_stage
 
 HASH_SPACE = 2**32
 
@@ -50,77 +49,47 @@ def _hash32(*parts: Column) -> Column:
 
 
 NO_DATE = 99_999_999
-ROWS_TO_NUMBER = 1_000_000
-SKETCH_STEPS = 1000
 
 
 def split_by_date_proportion(df: DataFrame, date_col: str, id_col: str, test_size: float = 0.2) -> DataFrame:
     """The earliest ``floor(n * (1 - test_size))`` rows are dev, the rest oot.
 
-    Ties on a date are broken by id, ties on the id by a hash of the row; rows
-    without a date come last. There is no global sort: day counts name the day
-    of the cut, counts per id range and per hash prefix narrow the place inside
-    it, and only the last small range is numbered.
+    Ties on a date are broken by id, a missing id first, ties on the id by a
+    hash of the row; rows without a date come last. There is no global sort:
+    counts per date name the date of the cut, and the keys of its rows are
+    range-partitioned, so that counts per partition name the one that holds the
+    cut and only its rows are numbered. A frequent id spreads over ranges by the hash.
     """
     day = F.coalesce(F.col(date_col).cast("bigint"), F.lit(NO_DATE))
-    # One row per calendar day.
-    per_day = sorted((r[0], r[1]) for r in df.groupBy(day.alias("day")).count().collect())
-    quota = int(sum(c for _, c in per_day) * (1 - test_size))
-    cut, before, size = _place_of(per_day, quota)
-    if cut is None:
+    per_day = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    quota = int((per_day.agg(F.sum("rows")).first()[0] or 0) * (1 - test_size))
+    upto = F.sum("rows").over(Window.orderBy("day"))
+    found = per_day.withColumn("upto", upto).filter(F.col("upto") > quota).orderBy("day").select("day", (F.col("upto") - F.col("rows")).alias("before")).first()
+    if found is None:
         return df.withColumn("dataset", F.lit("dev"))
-    early, open_rows, left = day < cut, day == cut, quota - before
+    left = quota - found.before
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    id_level = hash_level = 0
-    while left > 0 and size > ROWS_TO_NUMBER and hash_level < 5:
-        rows = df.filter(open_rows)
-        ends = rows.agg(F.min(id_col), F.max(id_col)).first()
-        if ends[0] != ends[1]:
-            place, id_level = _id_place(rows, id_col, id_level), id_level + 1
-        else:
-            place, hash_level = F.shiftright(row_hash, 52 - 12 * hash_level), hash_level + 1
-        counts = sorted((r[0], r[1]) for r in rows.groupBy(place.alias("place")).count().collect())
-        cut, before, size = _place_of(counts, left)
-        if cut is None:
-            early, left = early | open_rows, 0
-        else:
-            early = early | (open_rows & (place < cut))
-            open_rows = open_rows & (place == cut)
-            left -= before
-    decided = df.filter(~open_rows).withColumn("dataset", F.when(early, "dev").otherwise("oot"))
-    if left <= 0:
-        return df.withColumn("dataset", F.when(early, "dev").otherwise("oot"))
-    rank = F.row_number().over(Window.orderBy(F.col(id_col), row_hash))
-    last = df.filter(open_rows).withColumn("_rank", rank)
-    last = last.withColumn("dataset", F.when(F.col("_rank") <= left, "dev").otherwise("oot")).drop("_rank")
-    return decided.unionByName(last)
-
-
-def _place_of(counts, quota):
-    """Place where the running count passes the quota, the count before it and its size."""
+    if left == 0:
+        return df.withColumn("dataset", F.when(day < found.day, "dev").otherwise("oot"))
+    keys = df.filter(day == found.day).select(F.col(f"`{id_col}`").alias("id"), row_hash.alias("row_hash"))
+    ranged = write_stage(keys.repartitionByRange("id", "row_hash").withColumn("part", F.spark_partition_id()), "cut_keys")
     before = 0
-    for place, count in counts:
-        if before + count > quota:
-            return place, before, count
-        before += count
-    return None, before, 0
-
-
-def _id_place(rows: DataFrame, id_col: str, level: int) -> Column:
-    """Ordered id ranges: two more characters per level for text, sketched cuts for numbers."""
-    key = F.col(id_col)
-    if dict(rows.dtypes)[id_col] == "string":
-        return F.substring(key, 1, 2 * (level + 1))
-    probs = ", ".join(f"{k / SKETCH_STEPS!r}D" for k in range(SKETCH_STEPS))
-    found = rows.selectExpr(
-        f"percentile_approx({sql_name(id_col)}, array({probs}), {10 * SKETCH_STEPS}) AS cuts", f"min({sql_name(id_col)}) AS low"
-    ).first()
-    # Each cut also ends right behind itself, so a frequent id gets a range of its
-    # own and every level leaves fewer ids than the one before.
-    cuts = {found.low, *found.cuts}
-    cuts = sorted(cuts | {math.nextafter(c, math.inf) if isinstance(c, float) else c + 1 for c in cuts})
-    reached = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= key)
-    return F.array_max(reached)
+    for part, rows in sorted((r.part, r["count"]) for r in ranged.groupBy("part").count().collect()):
+        if before + rows >= left:
+            break
+        before += rows
+    place = F.row_number().over(Window.orderBy("id", "row_hash"))
+    last = ranged.filter(F.col("part") == part).withColumn("place", place).filter(F.col("place") == left - before).select("id", "row_hash").first()
+    here = F.struct(F.col(f"`{id_col}`").alias("id"), row_hash.alias("row_hash"))
+    end = F.struct(F.lit(last.id).cast(df.schema[id_col].dataType).alias("id"), F.lit(last.row_hash).cast("bigint").alias("row_hash"))
+    # Wholly equal rows at the cut are told apart by number alone.
+    same = (ranged.filter((F.struct("id", "row_hash") <= end)).count() - left, (day == found.day) & (here == end))
+    marked = df.withColumn("dataset", F.when((day < found.day) | ((day == found.day) & (here <= end)), "dev").otherwise("oot"))
+    if same[0] == 0:
+        return marked
+    numbered = marked.filter(same[1]).withColumn("_place", F.row_number().over(Window.orderBy(F.lit(0))))
+    moved = numbered.withColumn("dataset", F.when(F.col("_place") <= same[0], "oot").otherwise("dev")).drop("_place")
+    return marked.filter(~same[1]).unionByName(moved)
 
 
 def split_by_hash(df: DataFrame, id_col: str, test_size: float = 0.2, random_state: int = 42) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import time
+import warnings
 from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -51,6 +52,7 @@ SEARCH_SPACE = {
     "subsample": (0.2, 1.0),
     "colsample_bytree": (0.2, 1.0),
 }
+SEARCHABLE = frozenset({*DEFAULT_PARAMS, "max_depth", "scale_pos_weight"}) - {"random_state"}
 PSI_LIMIT = 0.2
 PROB = "prob_"
 WEIGHT = "_weight"
@@ -74,12 +76,13 @@ def feature_stages(df: DataFrame, features: Sequence[str], out: str = "features"
     return [*stages, VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep")]
 
 
-def boosting(params: Mapping, label: str = "label", n_rows: int = 1) -> GBTClassifier:
+def boosting(params: Mapping, label: str = "label", n_rows: int = 1, categories: int = 0) -> GBTClassifier:
     """Gradient-boosted trees with the usual parameter names mapped to Spark ML's.
 
     ``min_split_gain`` is a sum over rows, Spark ML's gain a mean, hence the
     division. ``scale_pos_weight`` becomes a weight column. The ridge and lasso
-    penalties on leaves and ``subsample_freq`` have no counterpart.
+    penalties on leaves and ``subsample_freq`` have no counterpart. A text feature
+    needs a bin for each of its ``categories``. The library allows a depth of 30 at most and says so.
     """
     p = {**DEFAULT_PARAMS, **params}
     depth = p.get("max_depth", -1)
@@ -91,8 +94,8 @@ def boosting(params: Mapping, label: str = "label", n_rows: int = 1) -> GBTClass
         featuresCol="features",
         stepSize=float(p["learning_rate"]),
         maxIter=int(p["n_estimators"]),
-        maxDepth=min(int(depth), 10),
-        maxBins=max(2, int(p["max_bin"])),
+        maxDepth=int(depth),
+        maxBins=max(2, int(p["max_bin"]), categories + 2),
         subsamplingRate=float(p["subsample"]),
         featureSubsetStrategy="all" if share >= 1.0 else str(share),
         minInstancesPerNode=int(p["min_child_samples"]),
@@ -109,7 +112,18 @@ def fit_boosting(dev: DataFrame, features: Sequence[str], params: Mapping | None
     positive = float(params.get("scale_pos_weight", 1) or 1)
     if positive != 1:
         rows = rows.withColumn(WEIGHT, F.when(F.col(label) == 1, positive).otherwise(1.0))
-    return Pipeline(stages=[*feature_stages(rows, features), boosting(params, label, n_rows)]).fit(rows)
+    front = Pipeline(stages=feature_stages(rows, features)).fit(rows)
+    categories = max((len(names) for stage in front.stages if hasattr(stage, "labelsArray") for names in stage.labelsArray), default=0)
+    trees = boosting(params, label, n_rows, categories).fit(front.transform(rows))
+    return PipelineModel([*front.stages, trees])
+
+
+def searchable(space: Mapping[str, Sequence[float]]) -> dict:
+    """The parts of a search space that the trees have a parameter for; the others are named in a warning."""
+    absent = sorted(set(space) - SEARCHABLE)
+    if absent:
+        warnings.warn(f"no such parameter in the tree library, not searched: {absent}", stacklevel=2)
+    return {k: v for k, v in space.items() if k in SEARCHABLE}
 
 
 def score(model, df: DataFrame, features: Sequence[str], out: str = PROB) -> DataFrame:
@@ -171,7 +185,7 @@ def sample_params(space: Mapping[str, Sequence[float]], n_trials: int, seed: int
         drawn = {}
         for name, bounds in space.items():
             low, high = bounds[0], bounds[-1] if len(bounds) < 3 else bounds[1]
-            whole = name in ("num_leaves", "max_bin", "n_estimators", "max_depth", "subsample_freq")
+            whole = name in ("num_leaves", "max_bin", "n_estimators", "max_depth", "min_child_samples")
             value = rng.uniform(low, high)
             drawn[name] = int(round(value)) if whole else float(value)
         trials.append(drawn)
@@ -375,7 +389,7 @@ def compare_models(
     dev: DataFrame, oot: DataFrame, features: Sequence[str], time_limit: float = 300.0, label: str = "label",
     families: Mapping | None = None,
 ) -> DataFrame:
-    """Leaderboard of model families by test KS; families past the time limit are not started."""
+    """Leaderboard of model families by test KS; families past the time limit have the status ``not started``."""
     both = prepare(_both(dev, oot, features, label), features)
     stages = [*feature_stages(both, features), MinMaxScaler(inputCol="features", outputCol="scaled")]
     train_rows = both.filter("dataset = 'dev'")
@@ -387,16 +401,17 @@ def compare_models(
     try:
         for name, estimator in (families or model_families(label, len(features))).items():
             if time.monotonic() - began > time_limit:
-                break
+                rows.append((name, "not started", None, None, None, None, None))
+                continue
             at = time.monotonic()
             scored = estimator.fit(train).transform(assembled)
             raw = "probability" if "probability" in scored.columns else "rawPrediction"
             scored = scored.select("dataset", label, vector_to_array(raw)[1].alias(PROB))
             perf = {r.dataset: r for r in performance(scored, PROB, label).collect()}
-            rows.append((name, perf["oot"].ks, perf["oot"].auc, perf["dev"].ks, perf["dev"].auc, time.monotonic() - at))
+            rows.append((name, "fitted", perf["oot"].ks, perf["oot"].auc, perf["dev"].ks, perf["dev"].auc, time.monotonic() - at))
     finally:
         assembled.unpersist()
     board = dev.sparkSession.createDataFrame(
-        rows, "model string, ks_test double, auc_test double, ks_train double, auc_train double, seconds double"
+        rows, "model string, status string, ks_test double, auc_test double, ks_train double, auc_train double, seconds double"
     )
-    return board.orderBy(F.desc("ks_test"), "model")
+    return board.orderBy(F.desc_nulls_last("ks_test"), "model")

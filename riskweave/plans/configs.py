@@ -36,9 +36,9 @@ class SplitSettings(ColumnSettings):
     label_list_keep: tuple = (0, 1)
     fill_val: int = -9999
     method: str = "date"
-    train_split_range: tuple = (20240301, 20240930)
-    oot_split_range: tuple = (20241001, 20250228)
-    psi_split_range: tuple = (20241001, 20250228)
+    train_split_range: tuple | None = None
+    oot_split_range: tuple | None = None
+    psi_split_range: tuple | None = None
     test_size: float = 0.2
     random_state: int = 42
 

@@ -71,6 +71,9 @@ def make_split(cleaned: DataFrame, cfg: SplitSettings) -> DataFrame:
     if kind is None:
         raise ValueError(f"unknown split method {cfg.method!r}, use one of {sorted(SPLIT_METHODS)}")
     if kind == "range":
+        absent = [n for n in ("train_split_range", "oot_split_range", "psi_split_range") if getattr(cfg, n) is None]
+        if absent:
+            raise ValueError(f"the date split needs {absent}")
         return split.split_by_date_range(cleaned, cfg.date_col, cfg.train_split_range, cfg.oot_split_range, cfg.psi_split_range)
     if kind == "proportion":
         return split.with_psi_copy(split.split_by_date_proportion(cleaned, cfg.date_col, cfg.id_col, cfg.test_size))
@@ -115,7 +118,7 @@ def select_stage(dev: DataFrame, oot: DataFrame, cfg: SelectSettings = SelectSet
         )
     return {
         "single_var": stats,
-        "mono_var": _bin_table(dev, [f for f in numeric if f in kept] or numeric, [f for f in categorical if f in kept], cfg.label),
+        "mono_var": _bin_table(dev, numeric, categorical, cfg.label),
         "use_fea": spark.createDataFrame(list(enumerate(kept)), "place int, feature string"),
         "selection_report": report.selection_report(stats, kept),
     }
@@ -152,7 +155,7 @@ def train_stage(
     params, out = dict(cfg.model_param), {}
     status = "default"
     if cfg.RUN_HPO:
-        space = {k: v for k, v in (cfg.model_selection_params or train.SEARCH_SPACE).items() if k in train.SEARCH_SPACE}
+        space = train.searchable(cfg.model_selection_params or train.SEARCH_SPACE)
         trials = train.summarise_trials(
             train.search_boosting(dev, oot, features, cfg.n_trials, params, space, label),
             cfg.ks_threshold_min, cfg.ks_gap_threshold,
@@ -172,7 +175,7 @@ def train_stage(
 
 def _fit_tables(model, dev, oot, features, label) -> dict:
     both = train._both(dev, oot, features, label)
-    scored = train.score(model, both, features).select("dataset", label, train.PROB).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = write_stage(train.score(model, both, features).select("dataset", label, train.PROB), "fitted")
     row = train.evaluate_fit(scored, label)
     levels = metrics.level_table(scored.filter("dataset = 'oot'"), train.PROB, label)
     return {"metrics": dev.sparkSession.createDataFrame([row]), "levels": levels}
@@ -184,15 +187,16 @@ def evaluate_stage(
 ) -> dict[str, DataFrame]:
     """Metrics, stability, lift, points, bands and the retrain check of a fitted model.
 
-    ``samples`` carries the three samples in a ``dataset`` column.
+    ``samples`` carries the three samples in a ``dataset`` column. All rows are
+    scored; only measures that compare with the label leave grey and unlabelled ones out.
     """
-    rows = samples.filter(F.col(cfg.label).isin(0, 1))
     columns = list(dict.fromkeys(["dataset", cfg.id_col, cfg.date_col, cfg.label, cfg.channel_col, *features]))
-    scored = train.score(model, rows.select(*columns), features, points.prob_col)
+    scored = train.score(model, samples.select(*columns), features, points.prob_col)
     scored = scored.withColumn(points.score_col, to_points(F.col(points.prob_col), points.p0, points.pdo, points.theta))
     scored = write_stage(scored, "scored")
     out = report.evaluation_report(scored, points.prob_col, cfg.channel_col, cfg.label, cfg.date_col, cfg.bin_num)
-    out["score_bands"] = metrics.score_bands(scored.filter("dataset = 'oot'"), points.score_col, points.cut_points, cfg.label)
+    labelled_oot = scored.filter((F.col("dataset") == "oot") & F.col(cfg.label).isin(0, 1))
+    out["score_bands"] = metrics.score_bands(labelled_oot, points.score_col, points.cut_points, cfg.label)
     out["band_table"] = score.band_table(scored, points.score_col, cfg.label)
     out["reproduction"] = reproduction_rows(
         scored, [cfg.id_col, cfg.date_col, cfg.label, cfg.channel_col], features, points.prob_col, points.score_col, cfg.date_col

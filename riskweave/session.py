@@ -1,13 +1,16 @@
-"""Session helpers: where intermediate tables go and how wide a shuffle is."""
+"""Session helpers: where intermediate tables go, how wide a shuffle is, and the package on the workers."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,3 +46,21 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application.
+
+    Functions that run in workers refer to the package, which is on the driver's
+    path only; an installed package needs no shipping but isn't harmed by it.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="riskweave-package-")) / "riskweave.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.operators import clean, split
 
@@ -13,11 +14,8 @@ def frame(spark, n=400, hot=False):
 
 
 @pytest.mark.parametrize("hot", [False, True])
-@pytest.mark.parametrize("limit", [1_000_000, 3])
 @pytest.mark.parametrize("share", [0.2, 0.5, 0.999])
-def test_proportional_split_has_the_exact_size(spark, monkeypatch, hot, limit, share):
-    monkeypatch.setattr(split, "ROWS_TO_NUMBER", limit)
-    monkeypatch.setattr(split, "SKETCH_STEPS", 4)
+def test_proportional_split_has_the_exact_size(spark, hot, share):
     df = frame(spark, hot=hot)
     got = split.split_by_date_proportion(df, "date", "id", share).toPandas()
     quota = int(len(got) * (1 - share))
@@ -29,8 +27,21 @@ def test_proportional_split_has_the_exact_size(spark, monkeypatch, hot, limit, s
     assert not len(dev) or dev.date.fillna(99999999).max() <= got[got.dataset == "oot"].date.fillna(99999999).min()
 
 
-def test_text_ids(spark, monkeypatch):
-    monkeypatch.setattr(split, "ROWS_TO_NUMBER", 3)
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_missing_ids_come_first_and_no_row_is_lost(spark, kind):
+    rows = [(None if i % 4 == 0 else i, 20240101 + i % 2, i // 3) for i in range(90)] + [(None, 20240102, 0)] * 30
+    df = spark.createDataFrame(rows, "id bigint, date bigint, v bigint").withColumn("id", F.col("id").cast(kind)).repartition(5)
+    for share in (0.1, 0.3, 0.45, 0.5, 0.9, 1.0, 0.0):
+        got = split.split_by_date_proportion(df, "date", "id", share).toPandas()
+        dev = got[got.dataset == "dev"]
+        assert len(got) == 120 and len(dev) == int(120 * (1 - share))
+        cut = dev[dev.date == dev.date.max()] if len(dev) else dev
+        rest = got[(got.dataset == "oot") & (got.date == cut.date.max())] if len(dev) else dev
+        if cut.id.notna().any():
+            assert rest.id.notna().all()
+
+
+def test_text_ids(spark):
     df = spark.createDataFrame([(f"k{i:04d}", 20240101) for i in range(100)], "id string, date bigint")
     got = split.split_by_date_proportion(df, "date", "id", 0.35).toPandas()
     assert sorted(got[got.dataset == "dev"].id) == [f"k{i:04d}" for i in range(65)]
