@@ -8,6 +8,8 @@ executor costs a file read.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from riskweave.llm import mixing, near_copies, pseudonyms, quality, sentence_pie
 from riskweave.llm.queries_corpus import DOMAIN, WEIGHTS
 from riskweave.llm.queries_text import KEY
 from riskweave.llm.staging import Staged
+from riskweave.session import ship_package
 
 #: Nine tenths of the tokens that reach the stage, each document once at most.
 MIX = mixing.Plan(levels=(("domain", DOMAIN), ("lang", "lang"), ("source", "source")), weights=WEIGHTS, budget_share=900, max_epochs=1, seed=7)
@@ -48,12 +51,23 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "lang", "source", "made.ids", F.coalesce(F.size("made.ids"), F.lit(0)).cast("long").alias("n_pieces"), "made.n_byte_pieces", "made.round_trip")
 
 
+def _shipped(stage):
+    """The stage after the package has been sent to the Python workers."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("near-copy removal", near_dedup),
-    ("personal data", personal_data),
-    ("source mix", source_mix),
-    ("piece encoding", encoding),
+    ("quality rules", _shipped(quality_rules)),
+    ("near-copy removal", _shipped(near_dedup)),
+    ("personal data", _shipped(personal_data)),
+    ("source mix", _shipped(source_mix)),
+    ("piece encoding", _shipped(encoding)),
 ]
 
 #: The last stage's search has no SQL; tests compare the stages with brute force.

@@ -88,6 +88,15 @@ def test_lists_alone_find_every_link(documents_of, monkeypatch):
     assert found(documents_of(rows), nc.Settings(words=2)) == brute(rows, 2)
 
 
+@pytest.mark.parametrize("short", [0, 10**9])
+def test_either_way_through_the_lists_finds_every_link(documents_of, monkeypatch, short):
+    """All lists as long ones, by whole sets; all as short ones, by their pairs."""
+    monkeypatch.setattr(nc, "hub_pairs", lambda nodes: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false"))
+    monkeypatch.setattr(nc, "SHORT_LIST", short)
+    rows = corpus(8)
+    assert found(documents_of(rows), nc.Settings(words=2)) == brute(rows, 2)
+
+
 def test_beyond_the_broadcast_limit(documents_of, monkeypatch):
     monkeypatch.setattr(nc, "BROADCAST_ROWS", 0)
     rows = corpus(5)
