@@ -9,16 +9,24 @@ and one document of each class goes on:
    of these values with a hub are compared with it. That ties large groups
    together with a number of pairs in proportion to the documents.
 2. *Inverted lists.* Linked documents (similarity s) share s * keep retained
-   values on average, and fewer than ``keep / 2`` of 64 with a chance under
-   1e-8 at s = 0.8 (never where the sets are small enough to be kept whole). So
-   of a document's values, ordered by how many documents retain them, rarest
-   first, it is enough to look up the first ``size - need + 1``: a partner that
-   shares ``need`` values shares one of those. Values that only one group
-   retains need no lookup at all, and a list yields only pairs across groups.
+   values on average, and fewer than ``need`` (half of ``keep`` and one) with a
+   chance under 1e-7 at s = 0.8 and keep = 64 (never where the sets are small
+   enough to be kept whole). So of a document's values, ordered by how many
+   documents retain them, rarest first, it is enough to look up the first
+   ``size - need + 1``: a partner that shares ``need`` values shares one of those.
+   Values that only one group retains need no lookup at all, and a list yields
+   only pairs across groups. Lists of up to ``SHORT_LIST`` askers yield their
+   pairs; whoever asks in a longer one is looked up once more by the whole set,
+   where the same order gives exact bounds: at place i of n a pair can still
+   share n - i values, and has to share percent / (100 + percent) of both sets.
    No list is cut and no partner dropped.
-3. *Estimate.* The ``keep`` smallest values of the union of two sketches are a
-   random sample of the union of the sets; pairs under ``need`` common values
-   in it go.
+3. *Estimate.* A short list's rows carry the union sketch in brief: two bits of
+   the smallest value in each of 128 ranges of the same hash. A range differs only
+   if its smallest value in the union is in one set alone, so the number of ranges that
+   differ tells the similarity; pairs beyond ``SIGMAS`` deviations of what the
+   least similarity gives never leave the list. For those that do, the ``keep``
+   smallest values of the union of both sketches are a random sample of the
+   union of the sets; pairs under ``need`` common values in it go.
 4. *Proof.* The full sets of the remaining pairs are built from the texts and
    compared exactly; only these links count.
 
@@ -49,6 +57,10 @@ from riskweave.llm.textkit import ASCII_LOWER, Texts, blocks, mix64, span_hashes
 
 #: Values of a sketch that are looked at for hubs.
 HUB_VALUES = 8
+#: Hash ranges of the brief sketch, and deviations beyond which a pair is none.
+RANGES, SIGMAS = 128, 5.5
+#: Askers of a list up to which its pairs are compared as they are.
+SHORT_LIST = 16
 
 
 @dataclass(frozen=True)
@@ -89,9 +101,36 @@ def _lists(doc: np.ndarray, value: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=n)))).astype(np.int32)), pa.array(value))
 
 
+def range_bits(doc: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of the smallest value in each hash range of each set, as two planes of 64-bit words; 0 for an empty range."""
+    bucket = value & (RANGES - 1)
+    _, first = np.unique(doc * RANGES + bucket, return_index=True)
+    planes = []
+    for bit in (9, 10):
+        plane = np.zeros((n, RANGES), dtype=bool)
+        plane[doc[first], bucket[first]] = (value[first] >> bit) & 1
+        planes.append(np.packbits(plane, axis=1).view(np.int64))
+    return planes[0], planes[1]
+
+
+def differing_ranges(size: Column, settings: Settings) -> Column:
+    """Ranges in which two sets with ``size`` values together can differ at the least similarity.
+
+    With u values in the union, b ranges are filled; the smallest value of one
+    is in one set alone with chance 1 - s (b drawn out of u), and then its two bits differ
+    in three of four cases.
+    """
+    apart = 1 - settings.percent / 100
+    union = size / (2 - apart)
+    filled = RANGES * (1 - F.exp(-union / RANGES))
+    drawn = filled * (apart * (1 - apart)) * F.greatest(F.lit(0.0), 1 - filled / union)
+    return filled * (0.75 * apart) + SIGMAS * F.sqrt(0.5625 * drawn + filled * (0.1875 * apart)) + 1
+
+
 SKETCH = T.StructType([
-    T.StructField("n_shingles", T.LongType()), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType()))
-])
+    T.StructField("n_shingles", T.LongType()), T.StructField("set_a", T.LongType()), T.StructField("set_b", T.LongType()),
+    T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("bits_a", T.ArrayType(T.LongType())), T.StructField("bits_b", T.ArrayType(T.LongType())),
+])
 
 
 def sketch_column(settings: Settings):
@@ -106,7 +145,9 @@ def sketch_column(settings: Settings):
         for i in range(n):
             digests[i] = np.frombuffer(hashlib.blake2b(value[first[i] : first[i + 1]].tobytes(), digest_size=16).digest(), dtype=np.int64)
         low = np.arange(len(doc)) - first[doc] < settings.keep
-        return [pa.array(sizes.astype(np.int64)), pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(doc[low], value[low], n)]
+        words = np.arange(n + 1, dtype=np.int32) * (RANGES // 64)
+        planes = [pa.ListArray.from_arrays(pa.array(words), pa.array(p.reshape(-1))) for p in range_bits(doc, value, n)]
+        return [pa.array(sizes.astype(np.int64)), pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(doc[low], value[low], n), *planes]
 
     @F.arrow_udf(SKETCH)
     def column(text: pa.Array) -> pa.Array:
@@ -137,7 +178,7 @@ def need(size: Column, settings: Settings) -> Column:
     together, so the overlap is that of the sets.
     """
     small = F.ceil(size * settings.percent / 100)
-    return F.when(size * 100 <= settings.keep * settings.percent, small).otherwise(F.lit(settings.keep // 2)).cast("int")
+    return F.when(size * 100 <= settings.keep * settings.percent, small).otherwise(F.lit(settings.keep // 2 + 1)).cast("int")
 
 
 def _listed(nodes: DataFrame, values: Column) -> DataFrame:
@@ -154,12 +195,13 @@ def hub_pairs(nodes: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")).distinct()
 
 
-def list_pairs(nodes: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b): pairs of different groups that retain a common value among those that each has to look up.
+def _asked(rows: DataFrame, need_of: Column) -> DataFrame:
+    """What each node has to look up: (node, n_shingles, root, value, main, place).
 
-    nodes: (node, n_shingles, sketch, root, members), the last being the documents of the group.
+    rows: (node, n_shingles, kept, root, members, value), a row per value of a
+    node's sketch or set of ``kept`` values. Values of one group alone are the
+    rarest of all and take the first places; ``main`` is the largest group that holds the value.
     """
-    rows = _listed(nodes.select("node", "n_shingles", "root", "members", F.size("sketch").alias("kept"), "sketch"), F.col("sketch")).drop("sketch")
     values = rows.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("holders"), F.max(F.struct("members", "root")).alias("main"))
     shared = values.where("low <> high").select("value", "holders", F.col("main.root").alias("main"))
     by_node = (
@@ -167,17 +209,52 @@ def list_pairs(nodes: DataFrame, settings: Settings) -> DataFrame:
         .groupBy("node", "n_shingles", "root", "kept")
         .agg(F.sort_array(F.collect_list(F.struct("holders", "value", "main"))).alias("common"))
     )
-    # Values of one group alone are the rarest of all and take the first places.
-    looked = F.col("kept") - need(F.col("n_shingles"), settings) + 1 - (F.col("kept") - F.size("common"))
-    asked = by_node.where(looked > 0).select("node", "n_shingles", "root", F.explode(F.slice("common", 1, looked)).alias("c")).select("node", "n_shingles", "root", "c.value", "c.main")
-    left = asked.where("root <> main").select("value", *(F.col(c).alias(f"{c}_a") for c in ("node", "n_shingles", "root")))
-    right = asked.select("value", "main", *(F.col(c).alias(f"{c}_b") for c in ("node", "n_shingles", "root")))
-    near = (F.col("n_shingles_a") * 100 >= F.col("n_shingles_b") * settings.percent) & (F.col("n_shingles_b") * 100 >= F.col("n_shingles_a") * settings.percent)
+    alone = F.col("kept") - F.size("common")
+    looked = F.col("kept") - need_of + 1 - alone
+    listed = by_node.where(looked > 0).select("node", "n_shingles", "root", alone.alias("alone"), F.posexplode(F.slice("common", 1, looked)).alias("at", "c"))
+    return listed.select("node", "n_shingles", "root", "c.value", "c.main", (F.col("alone") + F.col("at")).alias("place"))
+
+
+def _across(asked: DataFrame, own: tuple[str, ...], near: Column) -> DataFrame:
+    """(a, b): pairs of different groups that ask for the same value, of sizes that allow the similarity."""
+    left = asked.where("root <> main").select("value", *(F.col(c).alias(f"{c}_a") for c in own))
+    right = asked.select("value", "main", *(F.col(c).alias(f"{c}_b") for c in own))
     once = (F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
-    pairs = left.join(right, "value").where((F.col("root_a") != F.col("root_b")) & near & once)
+    pairs = left.join(right, "value").where((F.col("root_a") != F.col("root_b")) & once & near)
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
+def _sizes_allow(settings: Settings) -> Column:
+    return (F.col("n_shingles_a") * 100 >= F.col("n_shingles_b") * settings.percent) & (F.col("n_shingles_b") * 100 >= F.col("n_shingles_a") * settings.percent)
+
+
+def short_list_pairs(asked: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs from short lists whose brief sketches are alike enough. nodes: (node, bits_a, bits_b)."""
+    differing = F.lit(0)
+    for k in range(RANGES // 64):
+        first, second = (F.get(F.col(f"{p}_a"), F.lit(k)).bitwiseXOR(F.get(F.col(f"{p}_b"), F.lit(k))) for p in ("bits_a", "bits_b"))
+        differing = differing + F.bit_count(first.bitwiseOR(second))
+    near = _sizes_allow(settings) & (differing <= differing_ranges((F.col("n_shingles_a") + F.col("n_shingles_b")).cast("double"), settings))
+    own = ("node", "n_shingles", "root", "bits_a", "bits_b")
+    return _across(asked.join(nodes.select("node", "bits_a", "bits_b"), "node").select(*own, "value", "main"), own, near)
+
+
+def whole_set_pairs(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs among ``members`` (node, n_shingles, root, members) whose whole sets can be similar enough."""
+    rows = _only(texts, members).select("node", F.explode(set_column(settings)("text")).alias("value"))
+    rows = rows.join(members, "node").withColumn("kept", F.col("n_shingles"))
+    asked = _asked(rows, F.ceil(F.col("n_shingles") * settings.percent / 100))
+    still = F.least(F.col("n_shingles_a") - F.col("place_a"), F.col("n_shingles_b") - F.col("place_b"))
+    enough = still * (100 + settings.percent) >= (F.col("n_shingles_a") + F.col("n_shingles_b")) * settings.percent
+    return _across(asked, ("node", "n_shingles", "root", "place"), _sizes_allow(settings) & enough)
+
+
+def _only(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of some nodes; ``nodes`` is a written table, counted before it may be broadcast."""
+    nodes = nodes.select("node").distinct()
+    return texts.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "node", "left_semi")
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """Pairs with enough common values among the ``keep`` smallest of the union of their sketches."""
     one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n_shingles").alias("n_a"))
@@ -189,10 +266,8 @@ def estimated(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFra
 
 def proven(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Pairs whose whole shingle sets are similar enough. docs: (node, text). ``pairs`` is a written table."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    sets = docs.join(wanted, "node", "left_semi").select("node", set_column(settings)("text").alias("shingles"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    sets = _only(docs, wanted).select("node", set_column(settings)("text").alias("shingles"))
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * settings.percent).select("a", "b").distinct()
@@ -203,27 +278,39 @@ def groups(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_
     spark = docs.sparkSession
     staged = Staged(spark, "near-copies")
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    rows = staged.write(docs.select(F.col(id_col).cast("long").alias("id"), sketch_column(settings)(F.col(text_col)).alias("s")).select("id", "s.*"), "sketches")
+    sketches = staged.write(docs.select(F.col(id_col).cast("long").alias("id"), sketch_column(settings)(F.col(text_col)).alias("s")).select("id", "s.*"), "sketches")
 
     # One document for each shingle set: the smallest id. Each task hands on one row of a set.
-    ranked = rows.where("id IS NOT NULL AND n_shingles > 0").withColumn("place", F.row_number().over(Window.partitionBy("set_a", "set_b").orderBy("id")))
-    nodes = staged.write(ranked.where("place = 1").select(F.col("id").alias("node"), "n_shingles", "sketch"), "nodes")
+    ranked = sketches.where("id IS NOT NULL AND n_shingles > 0").withColumn("place", F.row_number().over(Window.partitionBy("set_a", "set_b").orderBy("id")))
+    nodes = staged.write(ranked.where("place = 1").select(F.col("id").alias("node"), "n_shingles", "sketch", "bits_a", "bits_b"), "nodes")
 
     tied = staged.write(proven(staged.write(hub_pairs(nodes), "hub-pairs"), texts, settings), "tied")
     staged.drop("hub-pairs")
     roots = components(tied, staged, "hubs")
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    grouped = nodes.join(roots.join(sizes, "root"), "node", "left").select("node", "n_shingles", "sketch", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members"))
-    pairs = staged.write(list_pairs(grouped, settings), "pairs")
-    likely = staged.write(estimated(pairs, nodes, settings), "likely")
+    grouped = nodes.join(roots.join(sizes, "root"), "node", "left").select(
+        "node", "n_shingles", "sketch", "bits_a", "bits_b", F.coalesce("root", "node").alias("root"), F.coalesce("members", F.lit(1)).alias("members")
+    )
+    rows = _listed(grouped.select("node", "n_shingles", "root", "members", F.size("sketch").alias("kept"), "sketch"), F.col("sketch")).drop("sketch")
+    asked = staged.write(_asked(rows, need(F.col("n_shingles"), settings)), "asked")
+    askers = asked.groupBy("value").agg(F.count(F.lit(1)).alias("askers"))
+    short = asked.join(askers.where(F.col("askers").between(2, SHORT_LIST)).select("value"), "value")
+    pairs = staged.write(short_list_pairs(short, nodes, settings), "pairs")
+    crowded = asked.join(askers.where(F.col("askers") > SHORT_LIST).select("value"), "value", "left_semi").select("node").distinct()
+    crowded = staged.write(crowded.join(grouped.select("node", "n_shingles", "root", "members"), "node"), "crowded")
+    more = staged.write(whole_set_pairs(crowded, texts, settings), "more-pairs")
+    staged.drop("asked")
+    staged.drop("crowded")
+    likely = staged.write(estimated(pairs.union(more).distinct(), nodes, settings), "likely")
     staged.drop("pairs")
+    staged.drop("more-pairs")
     links = staged.write(proven(likely, texts, settings), "links")
     staged.drop("likely")
     staged.drop("nodes")
     roots = components(tied.union(links), staged, "groups")
 
-    copies = rows.where("id IS NOT NULL AND n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
-    named = rows.select("id", "n_shingles", "set_a", "set_b").join(copies, ["set_a", "set_b"], "left")
+    copies = sketches.where("id IS NOT NULL AND n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
+    named = sketches.select("id", "n_shingles", "set_a", "set_b").join(copies, ["set_a", "set_b"], "left")
     node = F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("first", "id")).otherwise(F.col("id"))
     found = named.select("id", "n_shingles", node.alias("node")).join(roots, "node", "left")
     component = F.coalesce("root", "node")
