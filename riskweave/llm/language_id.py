@@ -15,9 +15,9 @@ The model's size is languages x vocabulary; more than ``MAX_LANGUAGES`` raise.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as
 every text is where nothing could be learned; ties go to the first language in
-alphabetical order. Texts of any length are read whole; in learning, a run
-longer than 256 bytes counts as several. Repeated rows are each predicted and
-each learned from. Only the named columns are read, so others may have any name.
+alphabetical order. Texts and runs of any length are read whole, in learning
+too. Repeated rows are each predicted and each learned from. Only the named
+columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ from riskweave.llm.textkit import PerWorker, blocks
 UND = "und"
 MAX_LANGUAGES = 512
 UNIT = 1 << 16
-#: Bytes of a run after which sums are brought back to a middle size, and the runs learning cuts to.
-RESCALE, LEARN_BYTES = 64, 256
+#: Bytes of a run after which sums are brought back to a middle size (an unknown character costs up to e^33), and the runs learning cuts to: none.
+RESCALE, LEARN_BYTES = 16, 0
 BLOCK = 1 << 19
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -65,9 +65,10 @@ def forward(runs: Runs, lattice: Lattice, chances: np.ndarray) -> np.ndarray:
     sums = np.zeros((len(runs.data) + n, languages))
     sums[begin] = 1
     scale = np.zeros((n, languages))
+    longest = _longest(lattice)
     for step, (low, high) in enumerate(zip(lattice.steps[:-1], lattice.steps[1:], strict=True)):
         if step and step % RESCALE == 0:
-            _rescale(sums, scale, begin, length, step)
+            _rescale(sums, scale, begin, length, step, longest)
         # Edges of one step end at different borders, so no two add to the same place.
         target = lattice.target[low:high]
         sums[target] += sums[lattice.source[low:high]] * chances[lattice.piece[low:high]]
@@ -75,32 +76,52 @@ def forward(runs: Runs, lattice: Lattice, chances: np.ndarray) -> np.ndarray:
         return np.log(sums[end]) + scale
 
 
-def _rescale(sums: np.ndarray, scale: np.ndarray, begin: np.ndarray, length: np.ndarray, step: int) -> None:
-    """Divides the borders from ``step`` on by their largest sum; those before have done their part."""
+def _longest(lattice: Lattice) -> int:
+    return int((lattice.target - lattice.source).max(initial=1))
+
+
+def _borders(begin: np.ndarray, length: np.ndarray, run: np.ndarray, step: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the runs' borders from ``step`` to ``step + reach`` or the end, and how many each run has."""
+    count = np.minimum(length[run], step + reach) - step + 1
+    first = np.cumsum(count) - count
+    return np.repeat(begin[run] + step - first, count) + np.arange(count.sum()), count
+
+
+def _rescale(sums: np.ndarray, scale: np.ndarray, begin: np.ndarray, length: np.ndarray, step: int, longest: int) -> np.ndarray:
+    """Divides the borders from ``step`` on, as far as a piece reaches, by their largest sum; those before have done their part. Returns the runs."""
     run = np.flatnonzero(length > step)
-    reach = np.minimum(length[run], step + RESCALE) - step + 1
-    first = np.concatenate(([0], np.cumsum(reach)))
-    node = np.repeat(begin[run] + step - first[:-1], reach) + np.arange(first[-1])
-    most = np.maximum.reduceat(sums[node], first[:-1], axis=0)
+    node, count = _borders(begin, length, run, step, longest)
+    most = np.maximum.reduceat(sums[node], np.cumsum(count) - count, axis=0)
     most[most == 0] = 1
-    sums[node] /= np.repeat(most, reach, axis=0)
+    sums[node] /= np.repeat(most, count, axis=0)
     scale[run] += np.log(most)
+    return run
 
 
 def expected_pieces(runs: Runs, lattice: Lattice, chance: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected count of each piece per column of ``weight`` (run x language: how often a run occurs)."""
     n = len(runs.start) - 1
     begin, end = runs.start[:-1] + np.arange(n), runs.start[1:] + np.arange(n)
+    length, longest = end - begin, _longest(lattice)
     p = chance[lattice.piece] * 16.0 ** (lattice.target - lattice.source)  # keeps products of short runs in range
     ahead, behind = np.zeros(len(runs.data) + n), np.zeros(len(runs.data) + n)
+    scale, node_scale = np.zeros(n), np.zeros(len(ahead))
     ahead[begin] = 1
-    behind[end] = 1
     steps = list(zip(lattice.steps[:-1], lattice.steps[1:], strict=True))
-    for low, high in steps:
+    for step, (low, high) in enumerate(steps):
+        if step and step % RESCALE == 0:
+            run = _rescale(ahead, scale, begin, length, step, longest)
+            node, count = _borders(begin, length, run, step, RESCALE + longest)
+            node_scale[node] = np.repeat(scale[run], count)
         ahead[lattice.target[low:high]] += ahead[lattice.source[low:high]] * p[low:high]
+    # With a piece's chance in the scales of its two borders, the way back needs no scales of its own: ahead * behind is the chance of a border.
+    across = np.flatnonzero(node_scale[lattice.source] != node_scale[lattice.target])
+    source, target = lattice.source[across], lattice.target[across]
+    p[across] = np.where(ahead[source] > 0, np.exp(np.log(p[across]) + node_scale[source] - node_scale[target]), 0)
+    behind[end] = 1 / ahead[end]
     for low, high in reversed(steps):
         np.add.at(behind, lattice.source[low:high], behind[lattice.target[low:high]] * p[low:high])
-    share = ahead[lattice.source] * p * behind[lattice.target] / ahead[end][lattice.run]
+    share = ahead[lattice.source] * p * behind[lattice.target]
     return np.stack([np.bincount(lattice.piece % len(chance), weights=share * w[lattice.run], minlength=len(chance)) for w in weight.T], axis=1)
 
 

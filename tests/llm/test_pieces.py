@@ -149,6 +149,36 @@ def test_expected_pieces_add_up(pieces):
     assert math.isclose((got * length).sum(), (np.diff(runs.start) * weight[:, 0]).sum(), rel_tol=1e-9)
 
 
+def piece_bytes(pieces):
+    return np.array([len(t.decode().replace(" ", MARK).encode()) if not t or t[0] < 0x80 or len(t) > 1 else 1 for t in pieces.texts])
+
+
+def test_expected_pieces_of_long_and_unknown_runs(pieces):
+    """Lines of figures, blank lines, tabs, unknown characters and long runs are covered once, byte for byte, and stay finite."""
+    chance = li.prior(pieces)
+    unknown = "".join(chr(c) for c in range(0x12000, 0x12080))  # four bytes each, no pieces
+    for text in ["\n".join(str(i * i) for i in range(300)), "\n" * 300, "a\tb\t" * 200, "the" + "\n" * 64 + "of" + "\t" * 64, "ab" * 20000]:
+        runs = pc.runs_of([text], pieces, li.LEARN_BYTES)
+        got = li.expected_pieces(runs, pc.lattice_of(runs, pieces), chance, np.bincount(runs.order, minlength=len(runs.start) - 1).astype(float)[:, None])[:, 0]
+        gone = sum(c in "\n\t" for c in text)  # no pieces: one byte each, unknown
+        assert np.isfinite(got).all() and (got >= 0).all() and math.isclose((got[:-1] * piece_bytes(pieces)).sum() + got[-1], len((MARK + text).encode()), rel_tol=1e-6), text[:20]
+        assert math.isclose(got[-1], gone, abs_tol=1e-6)
+    runs = pc.runs_of([unknown], pieces, li.LEARN_BYTES)
+    got = li.expected_pieces(runs, pc.lattice_of(runs, pieces), chance, np.ones((len(runs.start) - 1, 1)))[:, 0]
+    assert math.isclose(got[-1], len(unknown), rel_tol=1e-6)
+
+
+def test_learning_survives_blank_lines_and_unknown_characters(pieces):
+    """Such a document adds to its own language only; predictions of it and of others are numbers."""
+    odd = "\n" * 300 + "\t".join("12345") + "".join(chr(c) for c in range(0x12000, 0x12060))
+    learner = li.Learner(pieces)
+    counts = learner.counts(["the nation of the", odd, "les nations des"], np.array([0, 0, 1]), 2)
+    assert (counts >= 0).all() and (counts[:, 1] == learner.counts(["les nations des"], np.array([0]), 1)[:, 0]).all()
+    model = li.Model(("en", "fr"), (counts / li.UNIT + 0.01) / (counts / li.UNIT + 0.01).sum(axis=0))
+    names, scores = li.Predictor((pieces, model))([odd + "a", "les nations", "the nation of"])
+    assert np.isfinite(scores).all() and names[1:] == ["fr", "en"]
+
+
 def test_languages_are_told_apart(documents_of, sample, spark):
     rows = li.identify(sample, PATH).collect()
     lang = {r.doc_id: r.lang for r in sample.collect()}
