@@ -12,6 +12,10 @@ digest and matches nothing; a digest known under several names matches each
 share that id's lines; a null id is an id like any other; an empty table gives an
 empty result. Only the id and the text column are read, so other columns may
 have any name.
+
+The licence of a whole text is also looked up without its lines of copyright
+statement ('All rights reserved.', 'Copyright The X Authors'), which
+``text_digest`` keeps.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.license_texts import KNOWN
+from riskweave.llm.license_texts import KNOWN, WHOLE
 from riskweave.llm.staging import BROADCAST_ROWS
 
 #: Equivalent spellings, as license comparison guidelines list them (fixed values).
@@ -52,6 +56,12 @@ _SEPARATOR = re.compile(SEPARATOR)
 _SPELLING = re.compile(r"(?<![^ ])(?:" + "|".join(sorted(SPELLINGS, key=len, reverse=True)) + r")(?![^ ])")
 
 
+#: Further lines of copyright statement: no licence's own words stand on a line like these.
+_STATEMENT = re.compile(
+    r"(?m)^[^A-Za-z0-9©\n]*(?:Copyright[ \t]*:[^\n]*|Copyright[ \t]+(?:[Tt]he|[Bb]y)[ \t]+[A-Z0-9][^\n]*|[Aa][Ll][Ll][ \t]+[Rr][Ii][Gg][Hh][Tt][Ss][ \t]+[Rr][Ee][Ss][Ee][Rr][Vv][Ee][Dd])[^A-Za-z0-9\n]*$"
+)
+
+
 def canonical(text: str) -> str:
     """The text in its canonical form; empty if nothing is left."""
     text = text.translate(_LOWERED)
@@ -66,6 +76,18 @@ def digest(text: str) -> str | None:
     return hashlib.sha256(text.encode()).hexdigest() if text else None
 
 
+def bare_digest(text: str) -> str | None:
+    """Digest without all lines of copyright statement; None if there are none besides those that ``digest`` leaves out."""
+    bare, lines = _STATEMENT.subn("", text)
+    return digest(bare) if lines else None
+
+
+@F.arrow_udf(T.StringType())
+def text_bare_digest(text: pa.Array) -> pa.Array:
+    """text -> bare digest of the whole text."""
+    return pa.array([bare_digest(own.as_py() or "") for own in text], pa.string())
+
+
 @F.arrow_udf(T.StringType())
 def text_digest(text: pa.Array) -> pa.Array:
     """text -> digest of the whole text."""
@@ -78,9 +100,9 @@ def line_digests(text: pa.Array) -> pa.Array:
     return pa.array([[digest(line) for line in (own.as_py() or "").split("\n")] for own in text], pa.list_(pa.string()))
 
 
-def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(digest, license): one row per known digest, names joined where several share one."""
-    rows = [(digest(text), name) for name, text in known]
+def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]] = KNOWN, digests: Iterable[tuple[str, str]] = ()) -> DataFrame:
+    """(digest, license): one row per known digest, names joined where several share one; ``digests`` are (license, digest)."""
+    rows = [(digest(text), name) for name, text in known] + [(own, name) for name, own in digests]
     table = spark.createDataFrame([r for r in rows if r[0]], "digest string, license string")
     return table.groupBy("digest").agg(F.array_join(F.sort_array(F.collect_set("license")), " / ").alias("license"))
 
@@ -90,7 +112,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
 
     known: (digest, license), by default the texts that come with the module.
     """
-    known = known if known is not None else known_digests(docs.sparkSession)
+    known = known if known is not None else known_digests(docs.sparkSession, digests=WHOLE)
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     own_id = F.col(id_col).alias("id")
@@ -101,6 +123,9 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
         F.size("found").cast("long").alias("n_notices"),
         F.array_join(F.transform("found", lambda f: F.concat_ws(":", (f["line"] + 1).cast("string"), f["license"])), ",").alias("notices"),
     )
-    wholes = docs.select(own_id, text_digest(F.col(text_col)).alias("text_digest")).join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    wholes = docs.select(own_id, text_digest(F.col(text_col)).alias("text_digest"), text_bare_digest(F.col(text_col)).alias("bare_digest"))
+    wholes = wholes.join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    wholes = wholes.join(known.select(F.col("digest").alias("bare_digest"), F.col("license").alias("bare_license")), "bare_digest", "left")
+    wholes = wholes.withColumn("license", F.coalesce("license", "bare_license")).drop("bare_digest", "bare_license")
     joined = wholes.join(notices, F.col("id").eqNullSafe(F.col("hit_id")), "left")
     return joined.select(F.col("id").alias(id_col), "text_digest", "license", F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices"))

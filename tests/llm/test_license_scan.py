@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
+import pytest
+
 from riskweave.llm import license_scan as ls
-from riskweave.llm.license_texts import KNOWN
+from riskweave.llm.license_texts import KNOWN, WHOLE
 
 MIT = KNOWN[0][1]
 
@@ -36,3 +41,43 @@ def test_edges(documents_of, clashing):
     got = ls.scan(documents_of([(1, "a"), (1, "a"), (None, "Licensed under the MIT License."), (2, "b " * 200000)])).collect()
     assert len(got) == 4 and [r.notices for r in got if r.doc_id is None] == ["1:MIT"]
     assert ls.scan(clashing(["a"])).columns == ["doc_id", "text_digest", "license", "n_notices", "notices"]
+
+
+LICENSES = Path("/usr/share/common-licenses")
+NAMES = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+END = "END OF TERMS AND CONDITIONS"
+#: First words of the standard header in the text, and the line it ends with.
+HEADERS = {f: f"This {w}" for f, w in (("GPL-1", "program is free"), ("GPL-2", "program is free"), ("GPL-3", "program is free"), ("LGPL-2", "library is free"), ("LGPL-2.1", "library is free"), ("MPL-2.0", "Source Code Form is subject"))}
+LAST = r"(51 Franklin|gnu\.org/licenses/>|MPL/2\.0/)[^\n]*\n"
+
+
+def whole_forms(file):
+    """A licence's text, the text without what follows its end, and its standard header."""
+    text = (LICENSES / file).read_text()
+    out = [text]
+    if m := re.search(END, text):
+        out += [text[: m.end()], text[: m.start()]]
+    if file in HEADERS:
+        rest = text[text.index(HEADERS[file]) :]
+        out.append(rest[: re.search(LAST, rest).end()])
+    return out
+
+
+def whole_digests():
+    return sorted({(NAMES[f], ls.bare_digest(t) or ls.digest(t)) for f in NAMES for t in whole_forms(f)})
+
+
+@pytest.mark.skipif(not all((LICENSES / f).exists() for f in NAMES), reason="the machine has no licence texts")
+def test_whole_licences_are_known(documents_of):
+    assert whole_digests() == sorted(WHOLE)
+    rows = [(f"{f}", t) for f in NAMES for t in whole_forms(f)]
+    got = {r.doc_id: r.license for r in ls.scan(documents_of([t for _, t in rows])).collect()}
+    assert [got[i] for i in range(len(rows))] == [NAMES[f] for f, _ in rows]
+
+
+def test_statement_lines_don_t_hide_a_licence(documents_of):
+    bsd = next(t for n, t in KNOWN if n == "BSD-3-Clause")
+    heads = ["Copyright (c) 2020, X\nAll rights reserved.\n", "Copyright The X Authors\n", "Copyright by X\nALL RIGHTS RESERVED\r\n", "# Copyright: 2020 X\n"]
+    got = {r.doc_id: r for r in ls.scan(documents_of([h + bsd for h in heads] + ["All rights reserved."])).collect()}
+    assert [got[i].license for i in range(5)] == ["BSD-3-Clause"] * 4 + [None] and got[0].text_digest == ls.digest(heads[0] + bsd)
+    assert ls.bare_digest("the above\ncopyright notice and this\nCOPYRIGHT HOLDERS and all rights reserved by law") is None
