@@ -16,6 +16,11 @@ letters and digits, each kept in its class), iban (mod 97), card (Luhn, first
 digit kept), phone (North American plan, else the digits after the country
 code), ssn, ipv4, date (years 1900-2099; ISO, or day and month before the year).
 
+What stands beside a value doesn't hide it: groups of digits before or after a
+card, words or numbers after an iban, the time after an ISO date. Digits after a
+digit and a point are a fraction, not a card. Where more groups stand in a row
+than a card has, the first valid ones count, so there going back needs the spans.
+
 Defined cases: a null text stays null, an empty one empty; texts of any length
 are read whole; repeated rows get the same result; an empty table gives an empty
 result. Other columns are untouched and may have any name.
@@ -43,13 +48,24 @@ ROUNDS = 10
 _PATTERNS = {
     "email": re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]*[A-Za-z0-9][A-Za-z0-9._%+-]*)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
-    "card": re.compile(r"(?<![0-9A-Za-z])(?<![0-9][ .-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])(?![ .-][0-9])"),
+    "card": re.compile(r"(?<![0-9A-Za-z])(?<![0-9]\.)(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}|[0-9]{3}([-.])[0-9]{3}\1[0-9]{4})(?![0-9A-Za-z])(?![.-][0-9])"),
     "ssn": re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
     "ipv4": re.compile(r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z])(?!\.[0-9])"),
-    "date": re.compile(r"(?<![0-9A-Za-z/.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.-])[0-9]{1,2}\1(?:19|20)[0-9]{2})(?![0-9A-Za-z])(?![/.-][0-9])"),
+    "date": re.compile(r"(?<![0-9A-Za-z/.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?=T[0-9]{2}|Z(?![0-9A-Za-z])|(?![0-9A-Za-z]))|[0-9]{1,2}([/.-])[0-9]{1,2}\1(?:19|20)[0-9]{2}(?![0-9A-Za-z]))(?![/.-][0-9])"),
 }
 
+#: Characters of an IBAN by country (fixed values; other countries are tried at every length).
+_IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 
 class Feistel:
     """Keyed permutations of 0..n-1, one for every n and label."""
@@ -158,12 +174,18 @@ class Pseudonyms:
         return self._classes(f"email:{host.lower()}", local) + host
 
     def iban(self, m: re.Match) -> str | None:
-        plain = m[0].replace(" ", "")
-        country, check, body = plain[:2], plain[2:4], plain[4:]
-        if not 15 <= len(plain) <= 34 or int("".join(str(int(c, 36)) for c in body + country + check)) % 97 != 1 or check != iban_check(country, body):
-            return None
-        body = self._classes(f"iban:{country}", body)
-        return _filled(m[0], country + iban_check(country, body) + body)
+        """The pseudonym of the match's first characters that are valid: words and numbers may follow the value."""
+        text = m[0]
+        ends = [i for i in range(1, len(text) + 1) if i == len(text) or text[i] == " "]
+        sizes = {e: e - text.count(" ", 0, e) for e in ends}
+        own = _IBAN_LENGTHS.get(text[:2])
+        for end in sorted((e for e in ends if 15 <= sizes[e] <= 34), key=lambda e: (sizes[e] != own, -e)):
+            plain = text[:end].replace(" ", "")
+            country, check, body = plain[:2], plain[2:4], plain[4:]
+            if int("".join(str(int(c, 36)) for c in body + country + check)) % 97 == 1 and check == iban_check(country, body):
+                body = self._classes(f"iban:{country}", body)
+                return _filled(text[:end], country + iban_check(country, body) + body)
+        return None
 
     def card(self, m: re.Match) -> str | None:
         plain = re.sub("[ -]", "", m[0])
@@ -241,11 +263,16 @@ class Pseudonyms:
         found: list[tuple[int, int, str, str]] = []
         for kind in KINDS:
             make: Callable[[re.Match], str | None] = getattr(self, kind)
-            for m in _PATTERNS[kind].finditer(text):
-                if all(m.end() <= s or e <= m.start() for s, e, _, _ in found):
-                    new = make(m)
-                    if new is not None:
-                        found.append((m.start(), m.end(), kind, new))
+            at = 0
+            while m := _PATTERNS[kind].search(text, at):
+                at = start = m.start()
+                new = make(m)
+                end = start + len(new) if new is not None and kind == "iban" else m.end()
+                if new is not None and all(end <= s or e <= start for s, e, _, _ in found):
+                    found.append((start, end, kind, new))
+                    at = end
+                else:  # a value may begin inside what isn't one
+                    at += 1
         found.sort()
         out, at = [], 0
         for start, end, _, new in found:

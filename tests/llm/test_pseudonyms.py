@@ -67,6 +67,30 @@ def test_invalid_numbers_stay():
         assert MAKER.replaced(text) == (text, []), text
 
 
+@pytest.mark.parametrize("text, values", [
+    ("4111111111111111 12/27", ["4111111111111111"]),
+    ("no 7 4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+    ("1234 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+    ("7536784127813050 4845168114407329", ["7536784127813050", "4845168114407329"]),
+    ("4111-1111-1111-1111-5500-0000-0000-0004", ["4111-1111-1111-1111", "5500-0000-0000-0004"]),
+    ("DE89370400440532013000 500 EUR", ["DE89370400440532013000"]),
+    ("DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]),
+    ("AB12 DE89 3704 0044 0532 0130 00 X@y.org", ["DE89 3704 0044 0532 0130 00", "X@y.org"]),
+    ("DE89370400440532013000 GB82WEST12345698765432", ["DE89370400440532013000", "GB82WEST12345698765432"]),
+    ("2024-01-05T10:30:00Z", ["2024-01-05"]),
+    ("on 2024-01-05Z.", ["2024-01-05"]),
+])
+def test_neighbours_don_t_hide_a_value(text, values):
+    new, spans = MAKER.replaced(text)
+    assert [text[s:e] for s, e, _ in spans] == values
+    assert all(v not in new for v in values)
+
+
+def test_fractions_and_words_after_dates_stay():
+    for text in ("0.4111111111111111", "2024-01-05Thursday", "2024-01-05x"):
+        assert MAKER.replaced(text) == (text, []), text
+
+
 def test_dates_stay_in_range():
     for text in ("1900-01-01", "2099-12-31", "01/13/1900", "12/31/2099", "2000-02-29"):
         new, _ = MAKER.replaced(text)
