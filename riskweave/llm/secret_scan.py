@@ -10,6 +10,10 @@ Structural kinds are decoded first and reported only if their bytes parse:
   DER sequence with consistent nested lengths and the fields of a private key
   (PKCS#1, PKCS#8 or SEC 1), or an OpenSSH private key with its chain of
   length-prefixed strings. Public keys and certificates are no secrets.
+  Inside a PEM block escaped line ends, quotes and header lines are no part of
+  the body; a block whose headers say it is encrypted counts if its body is whole
+  cipher blocks. Base64 may be wrapped over lines (the first of 32 or more
+  characters), also with escaped line ends.
 * ``jwt``: three dotted base64url parts whose first is a JSON object that names
   an algorithm and whose second is a JSON object.
 
@@ -44,8 +48,12 @@ BASE_KINDS = KINDS[:3]
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX_RUN = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----", re.ASCII)
-_ENCODED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----)[\x00-\x7f])+)-----END \1-----")
+_PEM_HEADER = re.compile(r"(?m)^[ \t]*([A-Za-z][A-Za-z0-9-]*):[ \t]*([^\n]*)$")
+_ESCAPED = re.compile(r"\\+[rnt]|[\\\"'\r]")
+_ENCODED = re.compile(r"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\[rnt])|(?<=\\)(?![rnt]))[A-Za-z0-9+/_-]{32,}={0,2}")
+_LINE_END = re.compile(r"[ \t]*(?:\\*\r?\n|\\+[rn])+[ \t]*")
+_WRAPPED = re.compile(rf"{_ENCODED.pattern[:-6]}(?:{_LINE_END.pattern}[A-Za-z0-9+/_-]+)+={{0,2}}")
 _HEX_TEXT = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{2}){32,}(?![0-9A-Za-z])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 
@@ -116,10 +124,14 @@ def is_der_private_key(data: bytes) -> bool:
 
 
 def is_openssh_private_key(data: bytes) -> bool:
-    """The magic, cipher, kdf and its options, the number of keys, and as many public parts and one private part."""
+    return _openssh_end(data) > 0
+
+
+def _openssh_end(data: bytes) -> int:
+    """Bytes of an OpenSSH private key, 0 if it is none: the magic, cipher, kdf and its options, the number of keys, and as many public parts and one private part."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return 0
     at = len(magic)
 
     def string(at: int) -> int:
@@ -131,21 +143,62 @@ def is_openssh_private_key(data: bytes) -> bool:
     for _ in range(3):
         at = string(at)
         if at < 0:
-            return False
+            return 0
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
     if not 1 <= keys <= 16:
-        return False
+        return 0
     for _ in range(keys + 1):
         at = string(at)
         if at < 0:
-            return False
-    return True
+            return 0
+    return at
 
 
 def _is_key(data: bytes | None) -> bool:
     return data is not None and len(data) >= 24 and (is_der_private_key(data) or is_openssh_private_key(data))
 
 
+def _is_pem_key(body: str) -> bool:
+    lines = _ESCAPED.sub(lambda m: "\n" if m[0][-1] in "rnt\r" else "", body)
+    headers = {m[1].lower(): m[2] for m in _PEM_HEADER.finditer(lines)}
+    data = _decoded("".join(_PEM_HEADER.sub("", lines).split()))
+    if "ENCRYPTED" in headers.get("proc-type", "") and "dek-info" in headers:
+        return data is not None and len(data) >= 24 and len(data) % 8 == 0
+    return _is_key(data)
+
+
+def _wrapped_keys(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of keys whose base64 text goes over several lines; the bytes tell where it ends."""
+    for m in _WRAPPED.finditer(text):
+        gaps = [(g.start(), g.end()) for g in _LINE_END.finditer(text, m.start(), m.end())]
+        runs = list(zip([m.start(), *(e for _, e in gaps)], [*(s for s, _ in gaps), m.end()], strict=True))
+        i = 0
+        while i < len(runs):
+            last = _wrapped_end(text, runs, i)
+            if last > i:
+                yield runs[i][0], runs[last][1]
+            i = max(last, i) + 1
+
+
+def _wrapped_end(text: str, runs: list[tuple[int, int]], i: int) -> int:
+    """The run that ends a key begun by run i; -1 if there is none."""
+    head = _decoded(text[runs[i][0] : runs[i][1]][:20]) or b""
+    if len(head) < 15 or head[0] != _SEQUENCE and not head.startswith(b"openssh-key-v1"):
+        return -1
+    joined = "".join(text[s:e] for s, e in runs[i:]).rstrip("=")
+    if head[0] == _SEQUENCE:
+        width = head[1] & 0x7F if head[1] & 0x80 else 0
+        size = 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+    else:
+        size = _openssh_end(_decoded(joined[: len(joined) // 4 * 4]) or b"") or _openssh_end(_decoded(joined) or b"")
+    wanted, upto = -(-size * 4 // 3), 0
+    for j in range(i, len(runs)):
+        upto += len(text[runs[j][0] : runs[j][1]].rstrip("="))
+        if upto >= wanted:
+            return j if upto == wanted and _is_key(_decoded(joined[:wanted])) else -1
+    return -1
+
+
 def _is_jwt(header: str, payload: str) -> bool:
     parts = []
     for part in (header, payload):
@@ -164,8 +217,10 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     found |= {(m.start(), 2, m.end()) for m in _HEX_RUN.finditer(text)}
     key = KINDS.index("key")
     for m in _PEM.finditer(text):
-        if _is_key(_decoded("".join(m[2].split()))):
+        if _is_pem_key(m[2]):
             found.add((m.start(), key, m.end()))
+    pems = [(s, e) for s, k, e in found if k == key]
+    found |= {(s, key, e) for s, e in _wrapped_keys(text) if not any(a <= s and e <= b for a, b in pems)}
     covered = [(s, e) for s, k, e in found if k == key]
 
     def free(m: re.Match) -> bool:
