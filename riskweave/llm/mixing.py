@@ -172,7 +172,8 @@ def _copies(plan: Plan, id_text: Column) -> Column:
     key = _epoch_key(plan, id_text, cut["epochs"])
     at = _range(key, cut["ranges"])
     last = F.coalesce(F.struct(key.alias("key"), id_text.alias("id")) <= cut["last"], F.lit(False))
-    in_prefix = (at < cut["cut_range"]) | ((at == cut["cut_range"]) & last)
+    # No range crosses the budget only where the leaf has no tokens: all its rows go along.
+    in_prefix = cut["cut_range"].isNull() | (at < cut["cut_range"]) | ((at == cut["cut_range"]) & last)
     return cut["epochs"] + in_prefix.cast("long")
 
 

@@ -100,6 +100,13 @@ def test_budget_beyond_all_takes_every_epoch(documents_of):
     assert Counter(r.doc_id for r in mixing.selected(docs, plan).collect() if r.n_tokens) == {1: 3, 2: 3}
 
 
+def test_leaf_without_tokens_goes_along_once(documents_of):
+    rows = [(1, "a b", "en", "a"), (2, None, "en", "c"), (3, "", "en", "c"), (4, None, "de", "d"), (5, None, None, None)]
+    got = Counter((r.doc_id, r.source, r.epoch) for r in mixing.selected(documents_of(rows), PLAN).collect())
+    assert got == brute(rows, PLAN) and {i for i, _, _ in got} >= {2, 3, 4, 5} and max(got.values()) == 1
+    assert Counter(r.doc_id for r in mixing.mixed(documents_of(rows), PLAN).collect()) == Counter(i for i, _, _ in got)
+
+
 def test_edges(documents_of, clashing):
     assert mixing.selected(documents_of([]), PLAN).count() == 0
     assert mixing.mixed(documents_of([]), PLAN).count() == 0
