@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
-from riskweave.llm import mixing, near_copies
+from pyspark.sql import functions as F
+
+from riskweave.llm import merkle, mixing, near_copies
 from riskweave.llm.registry import documents, query
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,3 +72,47 @@ taken AS (SELECT doc_id, {columns}, n_tokens, unnest(range(0, epochs + CASE WHEN
 @query("op7_source_mix", mixing_sql(MIX, "documents", "SELECT * FROM taken"))
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.selected(documents(spark, sf_dir), MIX)
+
+
+def manifest_sql() -> str:
+    """The trees level by level; crc32 half a byte at a time, as DuckDB has none."""
+
+    def field(value: str) -> str:
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    table = [functools.reduce(lambda c, _: c >> 1 ^ (0xEDB88320 if c & 1 else 0), range(4), i) for i in range(16)]
+    halves = "list_transform(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: [ascii(x) & 15, ascii(x) >> 4])), lambda x: x::BIGINT)"
+    crc = f"xor(list_reduce([4294967295::BIGINT] || {halves}, lambda crc, b: xor(crc >> 4, list_extract({table}::BIGINT[], (xor(crc, b) & 15) + 1))), 4294967295)"
+    way = """
+way_{n} AS (SELECT w.{id}, k.lvl, string_agg(k.digest, '' ORDER BY k.idx) FILTER (WHERE k.idx < w.at) AS lefts, string_agg(k.digest, '' ORDER BY k.idx) FILTER (WHERE k.idx > w.at) AS rights
+    FROM (SELECT s.grp, s.{id}, l.lvl, s.idx // (3 ** l.lvl)::BIGINT AS at FROM {n} s, (SELECT DISTINCT lvl FROM {n} WHERE n > 1) l WHERE s.lvl = 0) w
+    JOIN {n} k ON k.grp IS NOT DISTINCT FROM w.grp AND k.lvl = w.lvl AND k.idx // 3 = w.at // 3 AND k.n > 1 GROUP BY w.{id}, k.lvl)"""
+    tree = """
+{n} AS (SELECT {grp} AS grp, 0 AS lvl, row_number() OVER (PARTITION BY {grp} ORDER BY {order}) - 1 AS idx, digest, count(*) OVER (PARTITION BY {grp}) AS n, {id} FROM {rows}
+    UNION ALL SELECT grp, lvl + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3, any_value({id}) FROM {n} WHERE n > 1 GROUP BY grp, lvl, idx // 3, n)"""
+    return f"""
+WITH RECURSIVE leaves AS (SELECT doc_id, source, {leaf("text")} AS digest, CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS altered FROM documents),
+{tree.format(n="nodes", grp="source", order="doc_id", rows="leaves", id="doc_id")},
+subroots AS (SELECT grp AS source, digest FROM nodes WHERE n = 1),
+{tree.format(n="tops", grp="0", order="source NULLS FIRST", rows="subroots", id="source")},
+{way.format(n="nodes", id="doc_id")},
+{way.format(n="tops", id="source")},
+steps AS (SELECT doc_id, lvl AS step, coalesce(lefts, '') AS lefts, coalesce(rights, '') AS rights FROM way_nodes
+    UNION ALL SELECT doc_id, 100 + lvl, coalesce(lefts, ''), coalesce(rights, '') FROM leaves JOIN way_tops ON leaves.source IS NOT DISTINCT FROM way_tops.source),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY step) AS turn FROM steps),
+folds AS (SELECT doc_id, 0 AS done, altered AS digest FROM leaves
+    UNION ALL SELECT f.doc_id, f.done + 1, sha256(o.lefts || f.digest || o.rights) FROM folds f JOIN ordered o ON o.doc_id = f.doc_id AND o.turn = f.done + 1),
+ends AS (SELECT doc_id, arg_max(digest, done) AS folded_root FROM folds GROUP BY doc_id),
+proofs AS (SELECT doc_id, string_agg(lefts || rights, '' ORDER BY step) AS proof FROM steps GROUP BY doc_id),
+root AS (SELECT digest AS root FROM tops WHERE n = 1)
+SELECT l.doc_id, l.digest AS leaf, s.digest AS subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), root"""
+
+
+@query("op13_merkle_manifest", manifest_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    return merkle.manifest(documents(spark, sf_dir), altered={"text": text}, where=merkle.altered_rows("doc_id"))
