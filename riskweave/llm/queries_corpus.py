@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import functools
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from riskweave.llm import merkle, mixing, near_copies
+from riskweave.llm import merkle, mixing, near_copies, token_alignment
 from riskweave.llm.registry import documents, query
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -74,6 +74,11 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.selected(documents(spark, sf_dir), MIX)
 
 
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def manifest_sql() -> str:
     """The trees level by level; crc32 half a byte at a time, as DuckDB has none."""
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import fingerprints, language_id, license_scan, pseudonyms, quality, secret_scan, sentence_pieces, token_counts
+from riskweave.llm import compression_quality, fingerprints, language_id, license_scan, pseudonyms, quality, secret_scan, sentence_pieces, token_counts
 from riskweave.llm.registry import documents, query
 
 
@@ -116,3 +116,8 @@ def op4_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_forward")
 def op8_language_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op11_compression_quality")
+def op11_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
