@@ -3,10 +3,11 @@
 A zstandard dictionary is built from pieces of good labelled texts and one from
 bad ones. A text is cut into pieces of ``PIECE`` bytes, so that the dictionary counts
 all through it and not at its beginning only, and all pieces are compressed with
-both. The difference of the two sums over the text's bytes, brought to its
-evidence n / (n + ``HALF``) for a text of n bytes, becomes the probability of a good
-label by a logistic curve, fitted on labelled texts that no dictionary has seen.
-Few bytes say little, so the shorter a text the closer it is to the curve's middle.
+both. The difference of the two sums over the text's bytes, bent so that large
+differences count alike (tanh, ``BEND``) and brought to its evidence n / (n + ``HALF``)
+for a text of n bytes, becomes the probability of a good label by a logistic curve,
+fitted on labelled texts that no dictionary has seen. Few bytes say little, so the
+shorter a text the closer it is to the curve's middle.
 
 Learning takes bounded samples, the same on every run: the ``texts`` labelled
 documents of each kind with the smallest hashes of their ids for the dictionaries, of each
@@ -35,9 +36,11 @@ from pyspark.sql import functions as F
 from riskweave.llm.staging import Staged
 from riskweave.llm.textkit import PerWorker, blocks
 
-PIECE = 512
+PIECE = 384
 #: Bytes at which a text's difference has half its weight.
-HALF = 100
+HALF = 200
+#: Difference per byte beyond which more says little more.
+BEND = 0.06
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 PIECES_PER_TEXT = 64
@@ -91,7 +94,7 @@ class Measure:
                 pieces = pieces_of(data)
                 bad, good = (sum(len(side.compress(p)) for p in pieces) for side in self.sides)
                 evidence = len(data) / (len(data) + HALF)
-                rows[i, 1:] = evidence * (bad - good) / len(data), evidence
+                rows[i, 1:] = evidence * np.tanh((bad - good) / len(data) / BEND), evidence
         return rows
 
 
