@@ -4,13 +4,15 @@ Every language has a probability for each piece of a fixed public vocabulary.
 A text's probability in a language is the sum over all ways to cut it into
 pieces, found by the forward algorithm on the lattice of matching pieces: the
 sum reaching a border is the sum over the pieces that end there. Runs that no
-piece reaches across are independent, so their logarithms add up, and equal
-runs of a block are computed once.
+piece reaches across are independent, so their logarithms add up. Each worker
+remembers the logarithms of up to ``KNOWN_BYTES`` of distinct runs, so a run's
+lattice is built when it is first met, in portions that fit a processor's cache.
 
 Learning is one step of expectation maximisation from the vocabulary's own
 scores: forward and backward sums give how often each piece is expected in each
 language's texts, over all labelled documents given, in whole units of 2^-16 so
-that sums don't depend on their order; ``smoothing`` counts are added per piece.
+that sums don't depend on their order; ``smoothing`` counts are added per piece. A task
+counts its distinct runs by language first and takes the sums once for each run.
 The model's size is languages x vocabulary; more than ``MAX_LANGUAGES`` raise.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as
@@ -32,16 +34,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.pieces import Lattice, Pieces, Runs, lattice_of, load_pieces, runs_of
+from riskweave.llm.pieces import Lattice, Pieces, Runs, bytes_at, lattice_of, load_pieces, runs_of, slices
 from riskweave.llm.textkit import PerWorker, blocks
 
 UND = "und"
 MAX_LANGUAGES = 512
 UNIT = 1 << 16
-#: Bytes of a run after which sums are brought back to a middle size (an unknown character costs up to e^33), and the runs learning cuts to: none.
-RESCALE, LEARN_BYTES = 16, 0
-BLOCK = 1 << 19
-_LETTER = re.compile(r"[^\W\d_]")
+#: Bytes of a run after which sums are brought back to a middle size (an unknown character costs up to e^33).
+RESCALE = 16
+#: Bytes of text taken at once, and of runs whose sums are taken at once.
+BLOCK, SLICE = 1 << 20, 1 << 17
+#: Bytes of logarithms a worker remembers, and of distinct runs that learning gathers before it takes their sums.
+KNOWN_BYTES, GATHER_BYTES = 1 << 25, 1 << 22
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -125,16 +130,82 @@ def expected_pieces(runs: Runs, lattice: Lattice, chance: np.ndarray, weight: np
     return np.stack([np.bincount(lattice.piece % len(chance), weights=share * w[lattice.run], minlength=len(chance)) for w in weight.T], axis=1)
 
 
+class Slots:
+    """Places of 64-bit keys, in the order in which they were added."""
+
+    def __init__(self) -> None:
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 for a new one."""
+        at = np.searchsorted(self.keys, keys)
+        hit = at < len(self.keys)
+        hit[hit] = self.keys[at[hit]] == keys[hit]
+        out = np.full(len(keys), -1, np.int64)
+        out[hit] = self.places[at[hit]]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Adds new keys, which ascend."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.places = np.insert(self.keys, at, keys), np.insert(self.places, at, np.arange(len(keys)) + len(self.places))
+
+
 class Learner:
+    """Expected pieces of the texts seen since the last ``take``."""
+
     def __init__(self, pieces: Pieces) -> None:
         self.pieces, self.chance = pieces, prior(pieces)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.slots, self.seen, self.weights, self.size, self.total = Slots(), [], [], 0, None
+
+    def see(self, texts: list[str], language: np.ndarray, languages: int) -> None:
+        runs = runs_of([t.lower() for t in texts], self.pieces)
+        n = len(runs.key)
+        weight = np.bincount(runs.order * languages + language[runs.doc], minlength=n * languages).reshape(n, languages)
+        place = self.slots.find(runs.key)
+        new, old = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+        if len(old):
+            held = np.concatenate(self.weights) if len(self.weights) > 1 else self.weights[0]
+            held[place[old]] += weight[old]
+            self.weights = [held]
+        data, start = bytes_at(runs.data, runs.start[new], np.diff(runs.start)[new])
+        self.slots.add(runs.key[new])
+        self.seen.append((data, np.diff(start), runs.key[new]))
+        self.weights.append(weight[new])
+        self.size += len(data)
+        if self.size > GATHER_BYTES:
+            self.total = self._summed()
+            self.slots, self.seen, self.weights, self.size = Slots(), [], [], 0
+
+    def _summed(self) -> np.ndarray | None:
+        if not self.seen:
+            return self.total
+        data, length, key = (np.concatenate(x) for x in zip(*self.seen, strict=True))
+        weight = np.concatenate(self.weights).astype(np.float64)
+        none = np.zeros(0, np.int64)
+        runs, total = Runs(data, np.concatenate(([0], np.cumsum(length))), none, none, key), self.total
+        for first, last, own in slices(runs, np.arange(len(key)), SLICE):
+            counts = np.rint(expected_pieces(own, lattice_of(own, self.pieces), self.chance, weight[first:last]) * UNIT).astype(np.int64)
+            total = counts if total is None else total + counts
+        return total
+
+    def take(self) -> np.ndarray | None:
+        total = self._summed()
+        self._begin()
+        return total
 
     def counts(self, texts: list[str], language: np.ndarray, languages: int) -> np.ndarray:
-        runs = runs_of([t.lower() for t in texts], self.pieces, LEARN_BYTES)
-        n = len(runs.start) - 1
-        weight = np.zeros((n, languages))
-        np.add.at(weight, (runs.order, language[runs.doc]), 1)
-        return np.rint(expected_pieces(runs, lattice_of(runs, self.pieces), self.chance, weight) * UNIT).astype(np.int64) if n else np.zeros((len(self.chance), languages), np.int64)
+        """Units of each piece per language in these texts alone."""
+        self._begin()
+        self.see(texts, language, languages)
+        total = self.take()
+        return np.zeros((len(self.chance), languages), np.int64) if total is None else total
 
 
 def learn(docs: DataFrame, path: str, smoothing: float = 0.01, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -149,13 +220,13 @@ def learn(docs: DataFrame, path: str, smoothing: float = 0.01, text_col: str = "
     place = {name: i for i, name in enumerate(languages)}
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        own = learner.get()
+        own.take()  # what a task that failed has left
         for batch in batches:
             for low, high, _ in blocks(batch.column(0), BLOCK):
-                texts = batch.column(0).slice(low, high - low).to_pylist()
                 which = np.array([place[x] for x in batch.column(1).slice(low, high - low).to_pylist()])
-                own = learner.get().counts(texts, which, len(languages))
-                total = own if total is None else total + own
+                own.see(batch.column(0).slice(low, high - low).to_pylist(), which, len(languages))
+        total = own.take()
         if total is not None:
             piece, language = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(language), pa.array(total[piece, language])], names=["piece", "language", "units"])
@@ -167,17 +238,42 @@ def learn(docs: DataFrame, path: str, smoothing: float = 0.01, text_col: str = "
     return Model(tuple(languages), counts / counts.sum(axis=0))
 
 
+def has_letter(text: str) -> bool:
+    """Number signs such as a half or a Roman eight are no letters."""
+    return any(m[0].isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 class Predictor:
     def __init__(self, made: tuple[Pieces, Model]) -> None:
         self.pieces, self.model = made
+        self.most = KNOWN_BYTES // (8 * max(1, len(self.model.languages)))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.slots, self.known = Slots(), np.zeros((self.most, len(self.model.languages)))
+
+    def _per_run(self, runs: Runs) -> np.ndarray:
+        """Log probability of each distinct run in every language."""
+        place = self.slots.find(runs.key)
+        new, old = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+        out = np.empty((len(runs.key), len(self.model.languages)))
+        out[old] = self.known[place[old]]
+        for first, last, own in slices(runs, new, SLICE):
+            out[new[first:last]] = forward(own, lattice_of(own, self.pieces), self.model.chances)
+        if len(self.slots) + len(new) > self.most:
+            self._forget()
+        if len(new) <= self.most:
+            self.known[len(self.slots) : len(self.slots) + len(new)] = out[new]
+            self.slots.add(runs.key[new])
+        return out
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        wanted = np.array([t is not None and _LETTER.search(t) is not None for t in texts], dtype=bool) & bool(self.model.languages)
+        wanted = np.array([t is not None and has_letter(t) for t in texts], dtype=bool) & bool(self.model.languages)
         names, scores = [UND] * len(texts), np.zeros(len(texts))
         runs = runs_of([t.lower() if w else "" for t, w in zip(texts, wanted, strict=True)], self.pieces)
         if not len(runs.order):
             return names, scores
-        per_run = forward(runs, lattice_of(runs, self.pieces), self.model.chances)[runs.order]
+        per_run = self._per_run(runs)[runs.order]
         total = np.stack([np.bincount(runs.doc, weights=c, minlength=len(texts)) for c in per_run.T], axis=1)
         best = total.argmax(axis=1)
         share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)

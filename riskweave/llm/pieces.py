@@ -9,6 +9,7 @@ together, one byte per step.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -122,21 +123,28 @@ def load_pieces(path: str) -> Pieces:
 
 
 class Runs(NamedTuple):
-    """Distinct runs of a block: ``data`` of all, run r in ``start[r]:start[r + 1]``; ``order`` names the run at each place of the block, ``doc`` its document."""
+    """Distinct runs of a block: ``data`` of all, run r in ``start[r]:start[r + 1]`` with the ascending hash ``key[r]``; ``order`` names the run at each place of the block, ``doc`` its document."""
 
     data: np.ndarray
     start: np.ndarray
     order: np.ndarray
     doc: np.ndarray
+    key: np.ndarray
 
 
-def runs_of(texts: list[str], pieces: Pieces, longest: int = 0) -> Runs:
-    """Distinct runs of texts in marker form. ``longest``: runs are cut after that many bytes, between characters; 0: never."""
+def bytes_at(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of the spans one after the other, where each begins and the last ends)."""
+    at = np.concatenate(([0], np.cumsum(length)))
+    return data[np.repeat(start - at[:-1], length) + np.arange(at[-1])], at
+
+
+def runs_of(texts: list[str], pieces: Pieces) -> Runs:
+    """Distinct runs of texts in marker form."""
     parts = [(MARKER + t.replace(" ", MARKER)).encode() if t else b"" for t in texts]
     data = np.frombuffer(b"".join(parts), dtype=np.uint8)
     offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64))).astype(np.int64)
     if not len(data):
-        return Runs(data, np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return Runs(data, np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
     begins = np.zeros(len(data), dtype=bool)
     begins[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
     if pieces.cuts_at_markers:
@@ -144,17 +152,22 @@ def runs_of(texts: list[str], pieces: Pieces, longest: int = 0) -> Runs:
         marker = (padded[:-2] == _MARKER[0]) & (padded[1:-1] == _MARKER[1]) & (padded[2:] == _MARKER[2])
         begins |= marker[3:] & ~marker[:-3]
     start = np.flatnonzero(begins)
-    if longest:
-        heads = np.flatnonzero((data & 0xC0) != 0x80)
-        run = np.searchsorted(start, heads, "right") - 1
-        part = (heads - start[run]) // longest
-        start = heads[np.concatenate(([True], (run[1:] != run[:-1]) | (part[1:] != part[:-1])))]
     end = np.concatenate((start[1:], [len(data)]))
-    _, first, order = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
-    length = (end - start)[first]
-    at = np.concatenate(([0], np.cumsum(length)))
-    own = data[np.repeat(start[first], length) + np.arange(at[-1]) - np.repeat(at[:-1], length)]
-    return Runs(own, at, order, np.searchsorted(offsets, start, "right") - 1)
+    key, first, order = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+    own, at = bytes_at(data, start[first], (end - start)[first])
+    return Runs(own, at, order, np.searchsorted(offsets, start, "right") - 1, key)
+
+
+def slices(runs: Runs, picked: np.ndarray, size: int) -> Iterator[tuple[int, int, Runs]]:
+    """(first, last + 1, runs) of the picked runs in portions of about ``size`` bytes, one run at least."""
+    length = np.diff(runs.start)[picked]
+    upto = np.concatenate(([0], np.cumsum(length)))
+    first, none = 0, np.zeros(0, np.int64)
+    while first < len(picked):
+        last = min(len(picked), max(first + 1, int(np.searchsorted(upto, upto[first] + size, "right")) - 1))
+        data, start = bytes_at(runs.data, runs.start[picked[first:last]], length[first:last])
+        yield first, last, Runs(data, start, none, none, runs.key[picked[first:last]])
+        first = last
 
 
 class Lattice(NamedTuple):

@@ -142,7 +142,7 @@ def test_long_runs_don_t_vanish(pieces):
 
 def test_expected_pieces_add_up(pieces):
     """Expected pieces cover every byte of the runs once."""
-    runs = pc.runs_of(["the nation of tion", "tion"], pieces, li.LEARN_BYTES)
+    runs = pc.runs_of(["the nation of tion", "tion"], pieces)
     weight = np.bincount(runs.order, minlength=len(runs.start) - 1).astype(float)[:, None]
     got = li.expected_pieces(runs, pc.lattice_of(runs, pieces), li.prior(pieces), weight)[:, 0]
     length = np.array([len(t.decode().replace(" ", MARK).encode()) if not t or t[0] < 0x80 or len(t) > 1 else 1 for t in pieces.texts] + [1])
@@ -158,12 +158,12 @@ def test_expected_pieces_of_long_and_unknown_runs(pieces):
     chance = li.prior(pieces)
     unknown = "".join(chr(c) for c in range(0x12000, 0x12080))  # four bytes each, no pieces
     for text in ["\n".join(str(i * i) for i in range(300)), "\n" * 300, "a\tb\t" * 200, "the" + "\n" * 64 + "of" + "\t" * 64, "ab" * 20000]:
-        runs = pc.runs_of([text], pieces, li.LEARN_BYTES)
+        runs = pc.runs_of([text], pieces)
         got = li.expected_pieces(runs, pc.lattice_of(runs, pieces), chance, np.bincount(runs.order, minlength=len(runs.start) - 1).astype(float)[:, None])[:, 0]
         gone = sum(c in "\n\t" for c in text)  # no pieces: one byte each, unknown
         assert np.isfinite(got).all() and (got >= 0).all() and math.isclose((got[:-1] * piece_bytes(pieces)).sum() + got[-1], len((MARK + text).encode()), rel_tol=1e-6), text[:20]
         assert math.isclose(got[-1], gone, abs_tol=1e-6)
-    runs = pc.runs_of([unknown], pieces, li.LEARN_BYTES)
+    runs = pc.runs_of([unknown], pieces)
     got = li.expected_pieces(runs, pc.lattice_of(runs, pieces), chance, np.ones((len(runs.start) - 1, 1)))[:, 0]
     assert math.isclose(got[-1], len(unknown), rel_tol=1e-6)
 
@@ -179,6 +179,36 @@ def test_learning_survives_blank_lines_and_unknown_characters(pieces):
     assert np.isfinite(scores).all() and names[1:] == ["fr", "en"]
 
 
+def test_number_signs_are_no_letters(pieces):
+    model = li.Model(("en",), np.full((len(pieces.texts) + 1, 1), 1e-5))
+    texts = ["½", "²", "Ⅷ", "①", "½ ² Ⅷ ① 12 _", "½a", "é", "字"]
+    assert li.Predictor((pieces, model))(texts)[0] == ["und"] * 5 + ["en"] * 3
+    assert [li.has_letter(t) for t in texts] == [any(c.isalpha() for c in t) for t in texts]
+
+
+def test_remembered_runs_don_t_change_a_result(pieces, sample, monkeypatch):
+    texts = [r.text for r in sample.limit(120).collect()] + ["x" * 3000, "ab" * 2000, ""]
+    which = np.arange(len(texts)) % 3
+    learner = li.Learner(pieces)
+    counts = learner.counts(texts, which, 3)
+    model = li.Model(("a", "b", "c"), (counts / li.UNIT + 0.01) / (counts / li.UNIT + 0.01).sum(axis=0))
+    whole = li.Predictor((pieces, model))(texts)
+    monkeypatch.setattr(li, "GATHER_BYTES", 500)
+    monkeypatch.setattr(li, "SLICE", 300)
+    monkeypatch.setattr(li, "KNOWN_BYTES", 24 * 150)  # 150 runs
+    for i in range(0, len(texts), 7):
+        learner.see(texts[i : i + 7], which[i : i + 7], 3)
+    assert np.abs(learner.take() - counts).max() <= 1000 < li.UNIT / 60 and learner.take() is None  # half a unit of rounding for each portion
+    small, names, scores = li.Predictor((pieces, model)), [], []
+    for _ in range(2):
+        names, scores = [], []
+        for i in range(0, len(texts), 7):
+            own = small(texts[i : i + 7])
+            names += own[0]
+            scores += own[1].tolist()
+        assert names == whole[0] and np.allclose(scores, whole[1], rtol=1e-9)
+
+
 def test_languages_are_told_apart(documents_of, sample, spark):
     rows = li.identify(sample, PATH).collect()
     lang = {r.doc_id: r.lang for r in sample.collect()}
