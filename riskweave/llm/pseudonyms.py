@@ -22,14 +22,17 @@ digit and a point are a fraction, not a card. Where more groups stand in a row
 than a card has, the first valid ones count, so there going back needs the spans.
 
 Defined cases: a null text stays null, an empty one empty; texts of any length
-are read whole; repeated rows get the same result; an empty table gives an empty
+are read whole, in time that grows with their length; repeated rows get the same result; an empty table gives an empty
 result. Other columns are untouched and may have any name.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
+import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -44,9 +47,11 @@ from riskweave.llm.textkit import blocks
 
 KINDS = ("email", "iban", "card", "phone", "ssn", "ipv4", "date")
 ROUNDS = 10
+#: Sets whose masks are remembered, and how many masks and pseudonyms are.
+SMALL_SET, HELD_MASKS, HELD_VALUES = 1 << 20, 1 << 16, 1 << 16
 
 _PATTERNS = {
-    "email": re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]*[A-Za-z0-9][A-Za-z0-9._%+-]*)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++)@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"),
     "card": re.compile(r"(?<![0-9A-Za-z])(?<![0-9]\.)(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}|[0-9]{3}([-.])[0-9]{3}\1[0-9]{4})(?![0-9A-Za-z])(?![.-][0-9])"),
@@ -74,8 +79,20 @@ class Feistel:
         if not 1 <= len(key) <= 64:
             raise ValueError("the key has 1 to 64 bytes")
         self.key = key
+        self._held: dict[tuple[str, int, int, int], int] = {}
 
     def _mask(self, label: str, n: int, turn: int, value: int, modulus: int) -> int:
+        """What a turn adds. Small sets have few masks (20 times their root at most), so these are remembered."""
+        if n > SMALL_SET:
+            return self._fresh_mask(label, n, turn, value, modulus)
+        place = (label, n, turn, value)
+        if place not in self._held:
+            if len(self._held) >= HELD_MASKS:
+                self._held.clear()
+            self._held[place] = self._fresh_mask(label, n, turn, value, modulus)
+        return self._held[place]
+
+    def _fresh_mask(self, label: str, n: int, turn: int, value: int, modulus: int) -> int:
         text = f"{label}:{n}:{turn}:{value}".encode()
         size = (modulus.bit_length() + 7) // 8 + 8  # 64 bits more than the modulus: no bias to speak of
         out = b"".join(hashlib.blake2b(text, key=self.key, digest_size=64, salt=i.to_bytes(16, "big")).digest() for i in range(-(-size // 64)))
@@ -156,7 +173,26 @@ class Pseudonyms:
 
     def _moved(self, label: str, digits: list[int], bases: list[int]) -> list[int]:
         x, n = to_number(digits, bases)
-        return to_digits(Feistel(self.key).moved(label, n, x, self.by), bases)
+        return to_digits(self._feistel.moved(label, n, x, self.by), bases)
+
+    @functools.cached_property
+    def _feistel(self) -> Feistel:
+        return Feistel(self.key)
+
+    @functools.cached_property
+    def _known(self) -> dict[tuple[str, str], str | None]:
+        """What values met before became, by kind."""
+        return {}
+
+    def _made(self, kind: str, m: re.Match) -> str | None:
+        place = (kind, m[0])
+        if place in self._known:
+            return self._known[place]
+        if len(self._known) >= HELD_VALUES:
+            self._known.clear()
+        make: Callable[[re.Match], str | None] = getattr(self, kind)
+        self._known[place] = made = make(m)
+        return made
 
     def _classes(self, label: str, text: str) -> str:
         """Letters and digits moved within their classes; other characters stay."""
@@ -169,8 +205,10 @@ class Pseudonyms:
         return "".join(out)
 
     def email(self, m: re.Match) -> str | None:
-        """The domain, lower-cased, is part of the label: one person's name at two hosts isn't linked."""
+        """The local part has a letter or a digit. The domain, lower-cased, is part of the label: one person's name at two hosts isn't linked."""
         local, host = m[1], m[0][len(m[1]) :]
+        if not any(c in _ALPHABETS for c in local):
+            return None
         return self._classes(f"email:{host.lower()}", local) + host
 
     def iban(self, m: re.Match) -> str | None:
@@ -249,30 +287,28 @@ class Pseudonyms:
 
     def _month_first(self, year: int, month: int, day: int, mark: str, text: str) -> str:
         """Moved among the dates of 1900-2099 whose day is after the 12th, so the result is read month first again."""
-        counts = [(y, mo, _days(y, mo) - 12) for y in range(1900, 2100) for mo in range(1, 13)]
-        at = sum(c for y, mo, c in counts if (y, mo) < (year, month)) + day - 13
-        at = self._moved("date:mdy", [at], [sum(c for _, _, c in counts)])[0]
-        for y, mo, c in counts:
-            if at < c:
-                return _date_text((mo, at + 13, y), mark, text)
-            at -= c
-        raise AssertionError("beyond the last date")
+        ends = _days_after_the_12th()
+        at = ends[(year - 1900) * 12 + month - 1] + day - 13
+        at = self._moved("date:mdy", [at], [ends[-1]])[0]
+        place = bisect.bisect_right(ends, at) - 1
+        return _date_text((place % 12 + 1, at - ends[place] + 13, 1900 + place // 12), mark, text)
 
     def replaced(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with pseudonyms, and (start, end, kind) of the values it had."""
         found: list[tuple[int, int, str, str]] = []
+        taken = bytearray(len(text))
         for kind in KINDS:
-            make: Callable[[re.Match], str | None] = getattr(self, kind)
             at = 0
             while m := _PATTERNS[kind].search(text, at):
-                at = start = m.start()
-                new = make(m)
+                start = m.start()
+                new = self._made(kind, m)
                 end = start + len(new) if new is not None and kind == "iban" else m.end()
-                if new is not None and all(end <= s or e <= start for s, e, _, _ in found):
+                if new is not None and not any(taken[start:end]):
                     found.append((start, end, kind, new))
+                    taken[start:end] = b"\x01" * (end - start)
                     at = end
                 else:  # a value may begin inside what isn't one
-                    at += 1
+                    at = start + 1
         found.sort()
         out, at = [], 0
         for start, end, _, new in found:
@@ -291,6 +327,12 @@ def _filled(pattern: str, plain: str) -> str:
     return "".join(next(left) if c.isalnum() else c for c in pattern)
 
 
+@functools.cache
+def _days_after_the_12th() -> list[int]:
+    """Days after the 12th before each month of 1900-2099, and in all."""
+    return list(itertools.accumulate((_days(y, m) - 12 for y in range(1900, 2100) for m in range(1, 13)), initial=0))
+
+
 def _days(year: int, month: int) -> int:
     after = datetime.date(year + month // 12, month % 12 + 1, 1)
     return (after - datetime.timedelta(days=1)).day
