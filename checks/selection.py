@@ -220,3 +220,72 @@ def rule_lift(spark, sf_dir):
     rows = demo.risk_samples(spark, sf_dir, "label", "sig", "nation", "channel", "n_lines")
     out = rules.lift_rules(rows, {n: F.expr(e) for n, e in CONDITIONS.items()}, threshold_lift=1.2)
     return rounded(out, "coverage", "score", "lift", "overall_rate")
+
+
+def _holds(rule: str) -> str:
+    """Whether a row of s fulfils the rule."""
+    value = "CASE {} " + " ".join(f"WHEN '{n}' THEN s.{n}" for n in CONDITIONS) + " END"
+    return f"{value.format(rule + '.f1')} = {rule}.v1 AND ({rule}.f2 IS NULL OR {value.format(rule + '.f2')} = {rule}.v2)"
+
+
+def _differs(own: str, parent_all: str, parent_bad: str) -> str:
+    """Chi-square of a rule's classes against its parent's, from the likelihood ratio."""
+    good, bad, share = f"({own}.wn - {own}.wb)::DOUBLE", f"{own}.wb::DOUBLE", f"({parent_bad}::DOUBLE / {parent_all}::DOUBLE)"
+    terms = [f"CASE WHEN {o} > 0 THEN {o} * ln({o} / ({own}.wn::DOUBLE * {e})) ELSE 0 END" for o, e in ((good, f"(1 - {share})"), (bad, share))]
+    return f"2 * ({' + '.join(terms)}) > 3.841458820694124"
+
+
+def _learner_sql(share: float, gamma: float, steps: int, lift: float, rate: float = 0.01, beam: int = 10, seed: int = 817):
+    """Covering of one resample, step by step; each step is a beam search of two levels."""
+    names = list(CONDITIONS)
+    columns = ", ".join(f"CAST({e} AS VARCHAR) AS {n}" for n, e in CONDITIONS.items())
+    flat = union(f"SELECT id, label, {i} AS o, '{n}' AS f, {n} AS v FROM s WHERE {n} IS NOT NULL" for i, n in enumerate(names))
+    hashed = f"('0x' || substr(md5('{seed}:0:' || id), 1, 8))::BIGINT"
+    sums = "sum(w)::HUGEINT AS wn, sum(w * {0}.label)::HUGEINT AS wb, count(*) AS n, sum({0}.label)::BIGINT AS b"
+    parts = [
+        f"c AS (SELECT id, label, {columns} FROM risk_samples WHERE label IN (0, 1))",
+        "t AS (SELECT count(*) AS n, sum(label) AS bad, avg(label) AS rate FROM c)",
+        f"s AS (SELECT c.* FROM c, t WHERE label = 1 OR {hashed} < least(4294967296, round(bad * (1 - {share}::DOUBLE) / {share}::DOUBLE / (n - bad) * 4294967296)))",
+        f"x AS ({flat})",
+    ]
+    units = [round((1 << 20) * gamma**k) for k in range(steps + 1)]
+    for k in range(steps):
+        cover = " + ".join(f"coalesce((SELECT count(*) FROM r{j} r WHERE {_holds('r')}), 0)" for j in range(k)) or "0"
+        parts += [
+            f"w{k} AS (SELECT id, CASE {cover} " + " ".join(f"WHEN {i} THEN {u}" for i, u in enumerate(units[: k + 1])) + " END AS w FROM s)",
+            f"a{k} AS (SELECT {sums.format('s')} FROM s JOIN w{k} USING (id))",
+            f"g{k} AS (SELECT o AS o1, f AS f1, v AS v1, {sums.format('x')} FROM x JOIN w{k} USING (id) GROUP BY 1, 2, 3)",
+            f"l{k} AS (SELECT g.* FROM g{k} g, a{k} a WHERE g.n >= {rate} * a.n AND {_differs('g', 'a.wn', 'a.wb')})",
+            f"h{k} AS (SELECT l.* FROM l{k} l, a{k} a ORDER BY l.wb * a.wn - l.wn * a.wb DESC, o1, v1 LIMIT {beam})",
+            f"""q{k} AS (SELECT h.o1, h.f1, h.v1, x2.o AS o2, x2.f AS f2, x2.v AS v2, any_value(h.wn) AS p_wn, any_value(h.wb) AS p_wb, {sums.format('x1')}
+              FROM h{k} h JOIN x x1 ON x1.f = h.f1 AND x1.v = h.v1 JOIN x x2 ON x2.id = x1.id AND x2.f <> x1.f JOIN w{k} w ON w.id = x1.id GROUP BY 1, 2, 3, 4, 5, 6)""",
+            f"""p{k} AS (SELECT DISTINCT least(o1, o2) AS o1, if(o1 < o2, f1, f2) AS f1, if(o1 < o2, v1, v2) AS v1, greatest(o1, o2) AS o2, if(o1 < o2, f2, f1) AS f2, if(o1 < o2, v2, v1) AS v2, q.wn, q.wb, q.n, q.b
+              FROM q{k} q, a{k} a WHERE q.n >= {rate} * a.n AND {_differs('q', 'a.wn', 'a.wb')} AND {_differs('q', 'q.p_wn', 'q.p_wb')})""",
+            f"""r{k} AS (SELECT c.* FROM (SELECT 1 AS size, o1, f1, v1, NULL AS o2, NULL AS f2, NULL AS v2, wn, wb, n, b FROM l{k}
+              UNION ALL SELECT 2, o1, f1, v1, o2, f2, v2, wn, wb, n, b FROM p{k}) c, a{k} a
+              WHERE c.wb * a.wn > c.wn * a.wb ORDER BY c.wb * a.wn - c.wn * a.wb DESC, size, o1, v1, o2, v2 LIMIT 1)""",
+        ]
+    chosen = union(f"SELECT {k} AS step, * FROM r{k}" for k in range(steps))
+    offset = "ln(1 - rate) + ln(all_b / all_n) - ln(rate) - ln(1 - all_b / all_n)"
+    return with_risk(*parts, body=f"""
+SELECT 0 AS loop, CAST(step AS INT) AS step, f1 || '=' || v1 || CASE WHEN size = 2 THEN ' AND ' || f2 || '=' || v2 ELSE '' END AS rule, f1 AS feature_1, v1 AS value_1, f2 AS feature_2, v2 AS value_2,
+  CAST(size AS INT) AS n_conditions, CAST(n - b AS BIGINT) AS n_good, CAST(b AS BIGINT) AS n_bad, round(p, 8) AS p_bad, round(score, 8) AS score, round(score / rate, 8) AS lift, round(rate, 8) AS overall_rate
+FROM (SELECT *, 1 / (1 + exp({offset} - ln(p / (1 - p)))) AS score
+      FROM (SELECT c.*, rate, all_n, all_b, (wb / 1048576 + 1) / (wn / 1048576 + 2) AS p FROM ({chosen}) c, t, (SELECT n AS all_n, b AS all_b FROM a0) z))
+QUALIFY row_number() OVER (PARTITION BY f1, v1, f2, v2 ORDER BY step) = 1 AND score > {lift} * rate""")
+
+
+@query("rule_learner", _learner_sql(0.6, 0.7, 3, 1.05))
+def rule_learner(spark, sf_dir):
+    rows = demo.risk_samples(spark, sf_dir, "id", "label", "sig", "nation", "channel", "n_lines")
+    out = rules.rule_learner(
+        rows, {n: F.expr(e) for n, e in CONDITIONS.items()}, loop_num=1, threshold_lift=1.05, oversampled_dep_rate=0.6, gamma=0.7, max_rules=3,
+    )
+    return rounded(out, "p_bad", "score", "lift", "overall_rate", digits=8)
+
+
+@query("rule_learner_resamples")
+def rule_learner_resamples(spark, sf_dir):
+    """Five resamples with a full run's settings; the learner is compared with brute force in the tests."""
+    rows = demo.risk_samples(spark, sf_dir, "id", "label", "sig", "nation", "channel", "n_lines")
+    return rules.rule_learner(rows, {n: F.expr(e) for n, e in CONDITIONS.items()}, threshold_lift=1.05)
