@@ -34,18 +34,24 @@ def _profile_ctes(features=FEATURES):
     )
 
 
-@query("cont_profile", with_risk(*_profile_ctes(), body="""
+PROFILE_BODY = """
 SELECT round(iv, 6) AS iv, feature AS variable, CASE WHEN bin_idx IS NULL THEN '_MISSING_' ELSE 'bin' END AS kind, lo AS min, hi AS max,
   CAST(c AS BIGINT) AS count, round(c / n, 8) AS proportion, CAST(bad AS BIGINT) AS depvar_n, round(bad / c, 8) AS depvar_rate,
   round((bad / c) * 100 / (ev / n), 6) AS lift, round(woe, 6) AS woe FROM w JOIN iv USING (feature)
-UNION ALL SELECT round(iv, 6), feature, 'TOTAL', NULL, NULL, CAST(n AS BIGINT), 1, CAST(ev AS BIGINT), round(ev / n, 8), round((ev / n) * 100 / (ev / n), 6), NULL FROM iv, t"""))
-def cont_profile(spark, sf_dir):
-    table = recode.continuous_profile(labelled(spark, sf_dir), FEATURES, tree=False, monotonic=False).table
+UNION ALL SELECT round(iv, 6), feature, 'TOTAL', NULL, NULL, CAST(n AS BIGINT), 1, CAST(ev AS BIGINT), round(ev / n, 8), round((ev / n) * 100 / (ev / n), 6), NULL FROM iv, t"""
+
+
+def _profile_rows(table):
     kind = F.when(F.col("group").isin("TOTAL", "_MISSING_"), F.col("group")).otherwise("bin")
     table = rounded(table.withColumn("kind", kind).drop("group"), "iv", "lift", "woe", digits=6)
     return rounded(table, "proportion", "depvar_rate")
 
 
+@query("cont_profile", with_risk(*_profile_ctes(), body=PROFILE_BODY))
+def cont_profile(spark, sf_dir):
+    return _profile_rows(recode.continuous_profile(labelled(spark, sf_dir), FEATURES, tree=False, monotonic=False).table)
+
+
 @query("cont_profile_tree")
 def cont_profile_tree(spark, sf_dir):
     return recode.continuous_profile(labelled(spark, sf_dir), FEATURES).table
@@ -56,11 +62,41 @@ def cont_profile_monotone(spark, sf_dir):
     return recode.continuous_profile(labelled(spark, sf_dir), FEATURES, tree=False, monotonic=True).table
 
 
-@query("tree_thresholds")
+def _tree_ctes(splits: int, min_share: float = 0.05):
+    """Best-first entropy tree, one split after the other, over all distinct values."""
+    def h(good, bad):
+        return f"(CASE WHEN {bad} > 0 THEN {bad} * log2({bad} / ({good} + {bad})) ELSE 0 END + CASE WHEN {good} > 0 THEN {good} * log2({good} / ({good} + {bad})) ELSE 0 END)"
+
+    parts = [
+        BIN, f"x AS MATERIALIZED ({long_numeric(FEATURES, 'bin')})",
+        f"small AS (SELECT greatest(CAST(floor(count(*) * {min_share}) AS BIGINT), 1) AS small FROM bin)",
+        """v AS (SELECT feature, v, sum(c) OVER w AS n, sum(e) OVER w AS e, lead(v) OVER w AS following, sum(c) OVER (PARTITION BY feature) AS n_all, sum(e) OVER (PARTITION BY feature) AS e_all
+            FROM (SELECT feature, v, count(*) AS c, sum(label) AS e FROM x WHERE v IS NOT NULL GROUP BY 1, 2) WINDOW w AS (PARTITION BY feature ORDER BY v))""",
+        """s0 AS MATERIALIZED (SELECT feature, v, following, n, e * (n_all::DOUBLE / (2 * e_all)) AS b, (n - e) * (n_all::DOUBLE / (2 * (n_all - e_all))) AS g, 0 AS node FROM v WHERE e_all > 0 AND e_all < n_all)""",
+    ]
+    for k in range(splits):
+        parts += [
+            f"""m{k} AS MATERIALIZED (SELECT *, coalesce(lag(n1) OVER o, 0) AS n0, coalesce(lag(b1) OVER o, 0) AS b0, coalesce(lag(g1) OVER o, 0) AS g0
+              FROM (SELECT feature, node, max(n) AS n1, max(b) AS b1, max(g) AS g1, max(v) AS last FROM s{k} GROUP BY 1, 2) WINDOW o AS (PARTITION BY feature ORDER BY last))""",
+            f"""c{k} AS (SELECT s.feature, s.node, s.v, s.following, ({h('(g - g0)', '(b - b0)')} + {h('(g1 - g)', '(b1 - b)')} - {h('(g1 - g0)', '(b1 - b0)')}) AS gain, last
+              FROM s{k} s JOIN m{k} m ON m.feature = s.feature AND m.node = s.node, small WHERE s.n - n0 >= small AND n1 - s.n >= small AND following - v > 1e-7)""",
+            f"r{k} AS MATERIALIZED (SELECT *, (v + following) / 2 AS cut FROM c{k} WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, last, v) = 1)",
+            f"s{k + 1} AS MATERIALIZED (SELECT s.* REPLACE (CASE WHEN r.node = s.node AND s.v > r.cut THEN {k + 1} ELSE s.node END AS node) FROM s{k} s LEFT JOIN r{k} r ON r.feature = s.feature)",
+        ]
+    return [*parts, f"cuts AS ({union(f'SELECT feature, cut FROM r{k}' for k in range(splits))})"]
+
+
+@query("tree_thresholds", with_risk(*_tree_ctes(9), body="SELECT feature, CAST(row_number() OVER (PARTITION BY feature ORDER BY cut) - 1 AS INT) AS idx, cut AS threshold FROM cuts"))
 def tree_thresholds(spark, sf_dir):
     rows = labelled(spark, sf_dir)
-    cells = treebins.value_cells(rows, {f: double_sql(rows, f) for f in FEATURES}, "label")
-    return treebins.thresholds_table(spark, treebins.tree_edges(cells, rows.count(), monotonic=False))
+    return treebins.thresholds_table(spark, treebins.tree_edges(rows, {f: double_sql(rows, f) for f in FEATURES}, "label", rows.count(), monotonic=False))
+
+
+@query("cont_profile_tree_bins", with_risk(
+    *_tree_ctes(9), "e AS (SELECT feature, list(DISTINCT e ORDER BY e) AS e FROM (SELECT feature, cut AS e FROM cuts UNION ALL SELECT feature, min(v) FROM x GROUP BY 1 UNION ALL SELECT feature, max(v) FROM x GROUP BY 1) GROUP BY 1)",
+    *_profile_ctes()[4:], body=PROFILE_BODY))
+def cont_profile_tree_bins(spark, sf_dir):
+    return _profile_rows(recode.continuous_profile(labelled(spark, sf_dir), FEATURES, tree=True, monotonic=False).table)
 
 
 def _bounds_sql():

@@ -17,7 +17,7 @@ from riskweave.functions.scores import woe_capped
 from riskweave.operators.binning import small_distinct_counts
 from riskweave.operators.profile import _per_feature, rate_sql
 from riskweave.operators.quantiles import exact_quantiles
-from riskweave.operators.treebins import bin_means, monotone_edges, tree_cuts, tree_edges, value_cells
+from riskweave.operators.treebins import bin_means, monotone_edges, tree_cuts, tree_edges
 
 MISSING_GROUP = "_MISSING_"
 TOTAL_GROUP = "TOTAL"
@@ -112,8 +112,7 @@ def profile_edges(
 ) -> dict[str, list[float]]:
     if not tree:
         return _quantile_profile_edges(rows, features, max_bins, monotonic, threshold_cor)
-    cells = value_cells(rows, {f: double_sql(rows, f) for f in features}, "_event")
-    return tree_edges(cells, rows.count(), max_bins, min_share, balanced, monotonic, threshold_cor)
+    return tree_edges(rows, {f: double_sql(rows, f) for f in features}, "_event", rows.count(), max_bins, min_share, balanced, monotonic, threshold_cor)
 
 
 def _profile_rows(rows: DataFrame, features: Sequence[str], edges: dict) -> DataFrame:

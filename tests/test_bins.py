@@ -92,14 +92,77 @@ def test_tree_edges_respect_leaf_count_and_size(spark):
     x = rng.normal(size=3000)
     y = (rng.random(3000) < 1 / (1 + np.exp(-2 * x))).astype(int)
     df = spark.createDataFrame(pd.DataFrame({"x": x, "_event": y}))
-    cells = treebins.value_cells(df, {"x": "x"}, "_event")
-    edges = treebins.tree_edges(cells, 3000, max_bins=6, min_share=0.05)["x"]
+    edges = treebins.tree_edges(df, {"x": "x"}, "_event", 3000, max_bins=6, min_share=0.05)["x"]
     assert 2 < len(edges) <= 7
     counts = np.histogram(x, edges)[0]
     assert counts.min() >= 150
     assert edges[0] == x.min() and edges[-1] == x.max()
 
 
+def plain_tree(x, y, leaves, min_leaf, balanced):
+    """A best-first tree over all distinct values, from counts of whole numbers; ties go to the smaller value."""
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    values, first = np.unique(x, return_index=True)
+    upto = np.append(first, len(x))
+    events = np.concatenate(([0], np.cumsum(y)))[upto]
+    n, bad = len(x), int(y.sum())
+    wb, wg = (n / (2 * bad), n / (2 * (n - bad))) if balanced else (1.0, 1.0)
+    b, g = events * wb, (upto - events) * wg
+
+    def h(good, evil):
+        total = good + evil
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return -np.where(evil > 0, evil * np.log2(evil / total), 0.0) - np.where(good > 0, good * np.log2(good / total), 0.0)
+
+    def best(lo, hi):
+        at = np.arange(lo + 1, hi)
+        at = at[(upto[at] - upto[lo] >= min_leaf) & (upto[hi] - upto[at] >= min_leaf) & (values[at] - values[at - 1] > 1e-7)]
+        if not len(at):
+            return None
+        whole = h(np.array([g[hi] - g[lo]]), np.array([b[hi] - b[lo]]))[0]
+        gain = (whole - h(g[at] - g[lo], b[at] - b[lo]) - h(g[hi] - g[at], b[hi] - b[at])) / (b[-1] + g[-1])
+        k = int(np.argmax(gain))
+        return (gain[k], int(at[k])) if gain[k] > 1e-12 else None
+
+    nodes, cuts = {(0, len(values)): best(0, len(values))}, []
+    while len(cuts) + 1 < leaves:
+        open_ = {k: v for k, v in nodes.items() if v}
+        if not open_:
+            break
+        (lo, hi), (_, at) = min(open_.items(), key=lambda kv: (-kv[1][0], kv[0][0]))
+        cuts.append((values[at - 1] + values[at]) / 2)
+        del nodes[lo, hi]
+        nodes[lo, at], nodes[at, hi] = best(lo, at), best(at, hi)
+    return sorted({values[0], values[-1], *cuts})
+
+
+@pytest.mark.parametrize("n, distinct, balanced, by_value", [(4000, 1001, True, 50_000), (30000, 20000, False, 300), (120000, 100000, True, 2000), (60000, 60000, True, 0)])
+def test_tree_is_exact_beyond_the_first_cells(spark, monkeypatch, n, distinct, balanced, by_value):
+    monkeypatch.setattr(treebins, "BY_VALUE_ROWS", by_value)
+    monkeypatch.setattr(treebins, "PASS_THRESHOLDS", 2500)
+    rng = np.random.default_rng(n)
+    x = np.round(rng.integers(0, distinct, n) / 7, 4)
+    p = 0.1 + 0.3 * (np.sin(x / distinct * 40) > 0.3) + 0.2 * (x > distinct / 12)
+    y = (rng.random(n) < p).astype(int)
+    z = np.where(rng.random(n) < 0.6, 5.0, rng.normal(size=n) * 10)  # one value fills many cells
+    flat = rng.normal(size=n)  # nothing to find but noise
+    gaps = rng.integers(0, 3000, n) * 4e-8 + (rng.random(n) < 0.5)  # steps too small to split
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "z": z, "flat": flat, "gaps": gaps, "_event": y})).repartition(6)
+    got = treebins.tree_edges(df, {c: c for c in ("x", "z", "flat", "gaps")}, "_event", n, max_bins=8, min_share=0.03, balanced=balanced, monotonic=False)
+    for name, values in (("x", x), ("z", z), ("flat", flat), ("gaps", gaps)):
+        assert got[name] == plain_tree(values, y, 8, int(n * 0.03), balanced), name
+
+
+@pytest.mark.parametrize("cells", [3, 20, 1000])
+def test_tree_does_not_depend_on_the_first_cells(spark, cells):
+    rng = np.random.default_rng(8)
+    x, y = rng.integers(0, 400, 3000).astype(float), rng.integers(0, 2, 3000)
+    df = spark.createDataFrame(pd.DataFrame({"x": np.where(x < 20, np.nan, x), "e": y, "none": np.nan, "same": 1.0})).selectExpr("nanvl(x, NULL) AS x", "e", "CAST(NULL AS DOUBLE) AS none", "same")
+    got = treebins.tree_edges(df, {"x": "x", "none": "none", "same": "same"}, "e", 3000, max_bins=6, min_share=0.02, monotonic=False, max_cells=cells)
+    assert got == {"x": plain_tree(x[x >= 20], y[x >= 20], 6, 60, True), "same": [1.0]}
+
+
 def test_monotone_loop_drops_bins_until_ranks_agree():
     x = np.arange(6, dtype=float)
     n = np.full(6, 10.0)
