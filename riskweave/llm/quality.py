@@ -2,10 +2,11 @@
 
 Every word gets a 64-bit hash; the hash of an n-gram rolls along the words
 (drop the word that leaves, add the one that enters). For each n-gram length
-the windows found twice or more in the text mark their words, and the
-characters of all marked words, counted once, are the length's coverage. Lines
+the windows that equal an earlier window of the text mark their words, and the
+characters of all marked words, counted once, are the length's coverage; the first
+occurrence is the text's own and not counted, so a sentence said twice counts once. Lines
 that equal an earlier line are measured in the same way. A document is rejected
-if any coverage is beyond its limit.
+if any coverage is beyond its limit. Only ``n_repeat_words``, of the base rule, counts first occurrences too.
 
 Defined cases: null and empty texts have no words and fail the base rule, as
 every text under ``min_words`` words does; texts of any length are read whole;
@@ -42,8 +43,8 @@ class Limits:
     gram_chars: Mapping[int, int] = field(default_factory=lambda: {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10})
 
 
-def marked_words(hashes: np.ndarray, words: Words, n: int, docs: int) -> np.ndarray:
-    """Words in an n-word window that occurs twice or more in its document."""
+def marked_words(hashes: np.ndarray, words: Words, n: int, first: bool) -> np.ndarray:
+    """Words in an n-word window that occurs earlier in its document, or also later (``first``)."""
     count = len(hashes)
     out = np.zeros(count, dtype=bool)
     if count < n:
@@ -56,11 +57,12 @@ def marked_words(hashes: np.ndarray, words: Words, n: int, docs: int) -> np.ndar
     grams = mix64((sums[n:] - sums[:-n]) * rising[: count - n + 1])
     whole = np.flatnonzero(words.doc[: count - n + 1] == words.doc[n - 1 :])
     keyed = mix64(grams[whole] ^ mix64(words.doc[whole].astype(np.uint64)))
-    order = np.argsort(keyed)
+    order = np.argsort(keyed, kind="stable")
     same = keyed[order][1:] == keyed[order][:-1]
     twice = np.zeros(len(whole), dtype=bool)
     twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
+    if first:
+        twice[order[:-1][same]] = True
     starts = whole[twice]
     reach = np.zeros(count + 1, dtype=np.int64)
     np.add.at(reach, starts, 1)
@@ -106,13 +108,13 @@ def measure(texts: Texts, lengths: tuple[int, ...]) -> Measures:
     order = np.argsort(keyed, kind="stable")
     later = np.zeros(len(filled), dtype=bool)
     later[order[1:]] = keyed[order][1:] == keyed[order][:-1]
-    marked = {k: marked_words(hashes, words, k, n) for k in {3, *lengths}}
+    marked = {k: marked_words(hashes, words, k, False) for k in lengths}
     return Measures(
         per_doc(words.doc),
         per_doc(words.doc, chars),
         per_doc(np.searchsorted(texts.offsets, symbols, "right") - 1),
         per_doc(doc[later]),
-        per_doc(words.doc[marked[3]]),
+        per_doc(words.doc[marked_words(hashes, words, 3, True)]),
         per_doc(doc[later], word_chars_of[filled[later]]),
         {k: per_doc(words.doc[marked[k]], chars[marked[k]]) for k in lengths},
     )

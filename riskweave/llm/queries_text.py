@@ -24,20 +24,21 @@ def op2_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _gram_sql(n: int) -> str:
-    """Words of each document that lie in an n-word window found twice or more."""
+def _gram_sql(n: int, first: bool) -> str:
+    """Words of each document that lie in an n-word window found earlier, or also later (``first``)."""
     window = ", ".join(["word", *(f"lead(word, {k}) OVER w" for k in range(1, n))])
+    name = f"{n}_first" if first else f"{n}"
+    again = "count(*) OVER (PARTITION BY doc_id, gram)" if first else "row_number() OVER (PARTITION BY doc_id, gram ORDER BY pos)"
     return f"""
-g{n} AS (SELECT doc_id, pos, CASE WHEN lead(pos, {n - 1}) OVER w IS NOT NULL THEN [{window}] END AS gram
+g{name} AS (SELECT doc_id, pos, CASE WHEN lead(pos, {n - 1}) OVER w IS NOT NULL THEN [{window}] END AS gram
          FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-t{n} AS (SELECT doc_id, pos, gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram) > 1 AS twice FROM g{n}),
-m{n} AS (SELECT doc_id, pos, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS marked FROM t{n}),
-c{n} AS (SELECT doc_id, count(*) FILTER (WHERE marked) AS marked_words, sum(length(word)) FILTER (WHERE marked) AS marked_chars
-         FROM m{n} JOIN words USING (doc_id, pos) GROUP BY doc_id)"""
+t{name} AS (SELECT doc_id, pos, gram IS NOT NULL AND {again} > 1 AS twice FROM g{name}),
+m{name} AS (SELECT doc_id, pos, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS marked FROM t{name}),
+c{name} AS (SELECT doc_id, count(*) FILTER (WHERE marked) AS marked_words, sum(length(word)) FILTER (WHERE marked) AS marked_chars
+         FROM m{name} JOIN words USING (doc_id, pos) GROUP BY doc_id)"""
 
 
 def quality_sql(limits: quality.Limits, body: str, source: str = "documents") -> str:
-    grams = sorted({3, *limits.gram_chars})
     rejected = " OR ".join(
         [f"100 * line_chars > {limits.line_chars} * word_chars", *(f"100 * dup_chars_{n} > {most} * word_chars" for n, most in limits.gram_chars.items())]
     )
@@ -49,14 +50,14 @@ lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS place
 again AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY place) > 1 AS seen FROM lines WHERE regexp_matches(line, '{WORD}')),
 dup AS (SELECT doc_id, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g'))) AS line_chars FROM again WHERE seen GROUP BY doc_id),
 totals AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY doc_id),
-{",".join(_gram_sql(n) for n in grams)},
+{",".join([_gram_sql(3, True), *(_gram_sql(n, False) for n in limits.gram_chars)])},
 measured AS (
 SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-       coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(c3.marked_words, 0)::BIGINT AS n_repeat_words,
+       coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(c3_first.marked_words, 0)::BIGINT AS n_repeat_words,
        coalesce(line_chars, 0)::BIGINT AS line_chars,
        {", ".join(f"coalesce(c{n}.marked_chars, 0)::BIGINT AS dup_chars_{n}" for n in limits.gram_chars)}
-FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN dup USING (doc_id) {" ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in grams)}),
+FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN c3_first USING (doc_id) {" ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in limits.gram_chars)}),
 judged AS (
 SELECT *, n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.repeat_words} * n_words AS base_failed, {rejected} AS rejected FROM measured)
 {body}"""
