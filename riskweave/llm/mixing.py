@@ -174,7 +174,8 @@ def _copies(plan: Plan, id_text: Column) -> Column:
     last = F.coalesce(F.struct(key.alias("key"), id_text.alias("id")) <= cut["last"], F.lit(False))
     # No range crosses the budget only where the leaf has no tokens: all its rows go along.
     in_prefix = cut["cut_range"].isNull() | (at < cut["cut_range"]) | ((at == cut["cut_range"]) & last)
-    return cut["epochs"] + in_prefix.cast("long")
+    # In a leaf that is taken whole, rows without tokens that come first would fit once more.
+    return F.least(cut["epochs"] + in_prefix.cast("long"), F.lit(plan.max_epochs).cast("long"))
 
 
 def mixed(docs: DataFrame, plan: Plan = Plan(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -65,7 +65,7 @@ cuts AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END::BIGINT
 keyed AS (SELECT z.*, l.epochs, l.budget - l.epochs * l.tokens AS rest, md5('{plan.seed}:' || l.epochs || ':' || coalesce(z.doc_id::VARCHAR, '')) AS key
           FROM sizes z JOIN cuts l ON {same}),
 ran AS (SELECT *, sum(n_tokens) OVER (PARTITION BY {columns} ORDER BY key, coalesce(doc_id::VARCHAR, '')) AS upto FROM keyed),
-taken AS (SELECT doc_id, {columns}, n_tokens, unnest(range(0, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END))::BIGINT AS epoch FROM ran)
+taken AS (SELECT doc_id, {columns}, n_tokens, unnest(range(0, least({plan.max_epochs}, epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END)))::BIGINT AS epoch FROM ran)
 {body}"""
 
 
