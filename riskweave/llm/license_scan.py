@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.llm.license_texts import KNOWN, WHOLE
-from riskweave.llm.staging import BROADCAST_ROWS
+from riskweave.llm.staging import BROADCAST_ROWS, Staged
 
 #: Equivalent spellings, as license comparison guidelines list them (fixed values).
 SPELLINGS = {
@@ -51,15 +51,14 @@ SEPARATOR = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWERED = str.maketrans(_UPPER, _UPPER.lower())
-_COPYRIGHT = re.compile(COPYRIGHT_LINE)
 _SEPARATOR = re.compile(SEPARATOR)
 _SPELLING = re.compile(r"(?<![^ ])(?:" + "|".join(sorted(SPELLINGS, key=len, reverse=True)) + r")(?![^ ])")
 
-
 #: Further lines of copyright statement: no licence's own words stand on a line like these.
-_STATEMENT = re.compile(
+STATEMENT_LINE = (
     r"(?m)^[^A-Za-z0-9©\n]*(?:Copyright[ \t]*:[^\n]*|Copyright[ \t]+(?:[Tt]he|[Bb]y)[ \t]+[A-Z0-9][^\n]*|[Aa][Ll][Ll][ \t]+[Rr][Ii][Gg][Hh][Tt][Ss][ \t]+[Rr][Ee][Ss][Ee][Rr][Vv][Ee][Dd])[^A-Za-z0-9\n]*$"
 )
+_COPYRIGHT, _STATEMENT = re.compile(COPYRIGHT_LINE), re.compile(STATEMENT_LINE)
 
 
 def canonical(text: str) -> str:
@@ -82,22 +81,26 @@ def bare_digest(text: str) -> str | None:
     return digest(bare) if lines else None
 
 
-@F.arrow_udf(T.StringType())
-def text_bare_digest(text: pa.Array) -> pa.Array:
-    """text -> bare digest of the whole text."""
-    return pa.array([bare_digest(own.as_py() or "") for own in text], pa.string())
+#: Places of a text's own forms beside its lines, which count from 1.
+WHOLE_TEXT, BARE_TEXT = 0, -1
+
 
+def forms(text: str) -> list[tuple[int, str | None]]:
+    """(place, digest) of the whole text, of its bare form if that differs, and of each line with something left."""
+    bare = bare_digest(text)
+    lines = ((n, digest(line)) for n, line in enumerate(text.split("\n"), 1))
+    return [(WHOLE_TEXT, digest(text)), *([(BARE_TEXT, bare)] if bare else []), *((n, d) for n, d in lines if d)]
 
-@F.arrow_udf(T.StringType())
-def text_digest(text: pa.Array) -> pa.Array:
-    """text -> digest of the whole text."""
-    return pa.array([digest(own.as_py() or "") for own in text], pa.string())
 
+_FORMS = T.ArrayType(T.StructType([T.StructField("place", T.IntegerType()), T.StructField("digest", T.StringType())]))
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def line_digests(text: pa.Array) -> pa.Array:
-    """text -> digest of each line, null for lines with nothing left."""
-    return pa.array([[digest(line) for line in (own.as_py() or "").split("\n")] for own in text], pa.list_(pa.string()))
+
+@F.arrow_udf(_FORMS)
+def text_forms(text: pa.Array) -> pa.Array:
+    """text -> its places and digests."""
+    listed = [forms(own.as_py() or "") for own in text]
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("digest", pa.string())]))
+    return pa.array([[{"place": n, "digest": d} for n, d in own] for own in listed], kind)
 
 
 def known_digests(spark: SparkSession, known: Iterable[tuple[str, str]] = KNOWN, digests: Iterable[tuple[str, str]] = ()) -> DataFrame:
@@ -115,17 +118,21 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     known = known if known is not None else known_digests(docs.sparkSession, digests=WHOLE)
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    own_id = F.col(id_col).alias("id")
-    lines = docs.select(own_id, F.posexplode(line_digests(F.col(text_col))).alias("line", "digest")).where(F.col("digest").isNotNull())
-    hits = lines.join(known, "digest").groupBy("id").agg(F.sort_array(F.collect_set(F.struct("line", "license"))).alias("found"))
+    staged = Staged(docs.sparkSession, "licences")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    found = rows.select("id", "row", F.inline(text_forms("text")))
+    # What goes on is a row for each document and one for each hit.
+    found = staged.write(found.join(known, "digest", "left").where((F.col("place") == WHOLE_TEXT) | F.col("license").isNotNull()), "forms")
+    hits = found.where(F.col("place") > 0).groupBy("id").agg(F.sort_array(F.collect_set(F.struct("place", "license"))).alias("found"))
     notices = hits.select(
         F.col("id").alias("hit_id"),
         F.size("found").cast("long").alias("n_notices"),
-        F.array_join(F.transform("found", lambda f: F.concat_ws(":", (f["line"] + 1).cast("string"), f["license"])), ",").alias("notices"),
+        F.array_join(F.transform("found", lambda f: F.concat_ws(":", f["place"].cast("string"), f["license"])), ",").alias("notices"),
     )
-    wholes = docs.select(own_id, text_digest(F.col(text_col)).alias("text_digest"), text_bare_digest(F.col(text_col)).alias("bare_digest"))
-    wholes = wholes.join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
-    wholes = wholes.join(known.select(F.col("digest").alias("bare_digest"), F.col("license").alias("bare_license")), "bare_digest", "left")
-    wholes = wholes.withColumn("license", F.coalesce("license", "bare_license")).drop("bare_digest", "bare_license")
+    bare = found.where(F.col("place") == BARE_TEXT).select("row", F.col("license").alias("bare_license"))
+    wholes = found.where(F.col("place") == WHOLE_TEXT).join(bare, "row", "left")
     joined = wholes.join(notices, F.col("id").eqNullSafe(F.col("hit_id")), "left")
-    return joined.select(F.col("id").alias(id_col), "text_digest", "license", F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices"))
+    return joined.select(
+        F.col("id").alias(id_col), F.col("digest").alias("text_digest"), F.coalesce("license", "bare_license").alias("license"),
+        F.coalesce("n_notices", F.lit(0).cast("long")).alias("n_notices"), F.coalesce("notices", F.lit("")).alias("notices"),
+    )

@@ -61,6 +61,8 @@ HUB_VALUES = 8
 RANGES, SIGMAS = 128, 5.5
 #: Askers of a list up to which its pairs are compared as they are.
 SHORT_LIST = 16
+#: Sets of most rows whose first document is broadcast.
+LARGE_SETS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -273,6 +275,21 @@ def proven(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * settings.percent).select("a", "b").distinct()
 
 
+def with_first(rows: DataFrame, copies: DataFrame, staged: Staged, large_sets: int = LARGE_SETS) -> DataFrame:
+    """``rows`` with the first document of their set (null for a set of one row), without bringing a set's rows together.
+
+    The ``large_sets`` sets with most rows are broadcast. Others have 1 / ``large_sets`` of all rows at most, so they are joined by their key.
+    """
+    keys = ["set_a", "set_b"]
+    large = staged.write(copies.orderBy(F.desc("rows"), *keys).limit(large_sets), "large-sets").drop("rows")
+    named = rows.join(F.broadcast(large), keys, "left")
+    if large.count() < large_sets:
+        return named
+    others = copies.join(F.broadcast(large), keys, "left_anti").drop("rows")
+    rest = named.where("first IS NULL").drop("first").join(others, keys, "left")
+    return named.where("first IS NOT NULL").unionByName(rest)
+
+
 def groups(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id (smallest id of its group), kept."""
     spark = docs.sparkSession
@@ -309,8 +326,8 @@ def groups(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_
     staged.drop("nodes")
     roots = components(tied.union(links), staged, "groups")
 
-    copies = sketches.where("id IS NOT NULL AND n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
-    named = sketches.select("id", "n_shingles", "set_a", "set_b").join(copies, ["set_a", "set_b"], "left")
+    copies = sketches.where("id IS NOT NULL AND n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    named = with_first(sketches.select("id", "n_shingles", "set_a", "set_b"), staged.write(copies, "copies"), staged)
     node = F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("first", "id")).otherwise(F.col("id"))
     found = named.select("id", "n_shingles", node.alias("node")).join(roots, "node", "left")
     component = F.coalesce("root", "node")

@@ -91,17 +91,22 @@ def license_sql() -> str:
         listed = ", ".join(f"'{a}': '{b}'" for a, b in license_scan.SPELLINGS.items())
         return f"array_to_string(list_transform(string_split({words}, ' '), lambda w: coalesce(MAP {{{listed}}}[w], w)), ' ')"
 
+    whole = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in license_scan.WHOLE)
     quoted = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in license_scan.KNOWN)
     return f"""
 WITH texts(license, text) AS (VALUES {quoted}),
-known AS (SELECT digest, string_agg(DISTINCT license, ' / ' ORDER BY license) AS license FROM (SELECT license, sha256({canonical("text")}) AS digest FROM texts) GROUP BY digest),
-wholes AS (SELECT doc_id, CASE WHEN form <> '' THEN sha256(form) END AS text_digest FROM (SELECT doc_id, {canonical("coalesce(text, '')")} AS form FROM documents)),
+whole_texts(license, digest) AS (VALUES {whole}),
+known AS (SELECT digest, string_agg(DISTINCT license, ' / ' ORDER BY license) AS license
+          FROM (SELECT license, sha256({canonical("text")}) AS digest FROM texts UNION ALL SELECT license, digest FROM whole_texts) GROUP BY digest),
+bare AS (SELECT *, CASE WHEN regexp_matches(text, '{license_scan.STATEMENT_LINE}') THEN regexp_replace(text, '{license_scan.STATEMENT_LINE}', '', 'g') END AS bare FROM documents),
+wholes AS (SELECT doc_id, CASE WHEN form <> '' THEN sha256(form) END AS text_digest, CASE WHEN bare_form <> '' THEN sha256(bare_form) END AS bare_digest
+           FROM (SELECT doc_id, {canonical("coalesce(text, '')")} AS form, {canonical("bare")} AS bare_form FROM bare)),
 lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS n FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
 forms AS (SELECT doc_id, n, {canonical("line")} AS form FROM lines),
 hits AS (SELECT doc_id, count(*) AS n_notices, string_agg(n || ':' || license, ',' ORDER BY n) AS notices
          FROM forms JOIN known ON sha256(form) = digest WHERE form <> '' GROUP BY doc_id)
-SELECT w.doc_id, text_digest, license, coalesce(n_notices, 0)::BIGINT AS n_notices, coalesce(notices, '') AS notices
-FROM wholes w LEFT JOIN known k ON w.text_digest = k.digest LEFT JOIN hits USING (doc_id)"""
+SELECT w.doc_id, text_digest, coalesce(k.license, b.license) AS license, coalesce(n_notices, 0)::BIGINT AS n_notices, coalesce(notices, '') AS notices
+FROM wholes w LEFT JOIN known k ON w.text_digest = k.digest LEFT JOIN known b ON w.bare_digest = b.digest LEFT JOIN hits USING (doc_id)"""
 
 
 @query("op5_license_digests", license_sql())

@@ -3,9 +3,12 @@ from __future__ import annotations
 import re
 from pathlib import Path
 
+import duckdb
 import pytest
+from tools.compare import rows_of
 
 from riskweave.llm import license_scan as ls
+from riskweave.llm import queries_text
 from riskweave.llm.license_texts import KNOWN, WHOLE
 
 MIT = KNOWN[0][1]
@@ -29,6 +32,19 @@ def test_whole_texts_and_lines(documents_of):
     assert got[5].text_digest is None and got[6].text_digest is None and got[0].text_digest == got[1].text_digest
 
 
+def test_sql_knows_whole_texts_and_bare_forms(documents_of):
+    gpl = Path("/usr/share/common-licenses/GPL-3")
+    texts = [MIT, f"Copyright: 2020 Somebody\nAll rights reserved.\n{MIT}", f"Copyright by X\n\n{MIT}", "All rights reserved.", None, "", "x\nReleased under the MIT License.", *([gpl.read_text()] if gpl.exists() else [])]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    df = ls.scan(documents_of(texts))
+    cur = con.execute(queries_text.license_sql())
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of([d[0] for d in cur.description], cur.fetchall())
+    got = {r.doc_id: r.license for r in df.collect()}
+    assert [got[i] for i in range(7)] == ["MIT", "MIT", "MIT", None, None, None, None] and (not gpl.exists() or got[7] == "GPL-3.0")
+
+
 def test_own_table_and_shared_digests(spark, documents_of):
     known = ls.known_digests(spark, [("A", "some text"), ("B", "Some Text."), ("C", "...")])
     assert [tuple(r)[1] for r in known.collect()] == ["A / B"]

@@ -148,3 +148,19 @@ def test_components(spark):
     got = {r.node: r.root for r in components(table, Staged(spark, "test"), "c").collect()}
     assert got == {x: find(x) for x in parent if x in got} and all(find(x) == x for x in set(parent) - set(got))
     assert components(table.where("false"), Staged(spark, "test"), "none").count() == 0
+
+
+def test_large_sets_are_broadcast_and_others_joined(spark, documents_of):
+    """Copies are named alike however many sets are broadcast."""
+    from pyspark.sql import functions as F
+
+    from riskweave.llm.staging import Staged
+
+    rows = spark.range(200).select(F.col("id"), (F.col("id") % 7).alias("n_shingles"), F.when(F.col("id") % 50 != 3, F.pmod("id", F.lit(13))).alias("set_a"), F.lit(1).cast("long").alias("set_b"))
+    copies = rows.where("set_a IS NOT NULL").groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
+    want = None
+    for large in (100, 13, 4, 1):
+        got = sorted(((r.id, r.first) for r in nc.with_first(rows, copies, Staged(spark, "test"), large).collect()))
+        want = want or got
+        assert got == want and len(got) == 200
+    assert dict(want)[3] is None and dict(want)[15] == 2
