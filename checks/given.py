@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.common import long_numeric, query, with_risk
+from checks.common import long_numeric, query, union, with_risk
 from checks.models import FEATURES, SMALL, WITH_TEXT
 from checks.profile import rounded
 from checks.selection import dev_oot
-from riskweave.operators import metrics, report, score, train
+from riskweave.operators import metrics, report, score, staged, train
 from riskweave.sources import demo
 
 NAMES = ("amt", "bal", "sum_qty", "sig", "sparse")
@@ -103,3 +103,30 @@ def staged_ks_ends_at_the_model(spark, sf_dir):
     whole = metrics.auc_ks(train.score(model, oot, FEATURES), train.PROB)
     last = steps.agg(F.max("round").cast("bigint").alias("rounds"), F.max_by("ks", "round").alias("last")).first()
     return whole.select(F.lit(last.rounds).alias("rounds"), F.col("total").alias("n_rows"), (F.abs(F.col("ks") - last.last) < 1e-9).alias("last_equals_model"))
+
+
+PARTS = ("sig", "coalesce(sum_qty, 0)", "-amt / 1000", "CAST(nation * 7 AS DOUBLE)", "coalesce(bal, 0) / 100")
+
+
+def _rounds_sql():
+    scores = [f"SELECT {k + 1} AS round, label, {' + '.join(f'({p})' for p in PARTS[: k + 1])} AS score FROM risk_samples WHERE label IN (0, 1)" for k in range(len(PARTS))]
+    return with_risk(
+        f"s AS ({union(scores)})",
+        "c AS (SELECT round, score, count(*) FILTER (label = 0) AS g, count(*) FILTER (label = 1) AS b FROM s GROUP BY 1, 2)",
+        "r AS (SELECT *, sum(g) OVER o AS below_g, sum(b) OVER o AS below_b, sum(g) OVER (PARTITION BY round) AS all_g, sum(b) OVER (PARTITION BY round) AS all_b FROM c WINDOW o AS (PARTITION BY round ORDER BY score))",
+        body="""
+SELECT CAST(round AS INT) AS round, round(max(abs(below_b / all_b - below_g / all_g)), 8) AS ks, true AS auc_within,
+  round(any_value(loss), 8) AS log_loss
+FROM r JOIN (SELECT round, avg(ln(1 + exp(-abs(2 * score))) + greatest(CASE WHEN label = 1 THEN -2 * score ELSE 2 * score END, 0)) AS loss FROM s GROUP BY 1) USING (round) GROUP BY round""")
+
+
+@query("ks_by_round", _rounds_sql())
+def ks_by_round(spark, sf_dir):
+    """KS after each of several parts of a score; the exact AUC of the last one lies within its bounds."""
+    rows = demo.risk_samples(spark, sf_dir, "label", "sig", "sum_qty", "amt", "nation", "bal").where("label IN (0, 1)")
+    parts = rows.select("label", F.array(*[F.expr(p).cast("double") for p in PARTS]).alias("parts"))
+    steps = staged.ks_by_round(parts, [(0.0, 1000.0 * (k + 1)) for k in range(len(PARTS))])
+    last = rows.select("label", F.expr(" + ".join(f"({p})" for p in PARTS)).cast("double").alias("score"))
+    auc = metrics.auc_ks(last, "score").first().auc
+    within = (F.col("round") < len(PARTS)) | F.lit(auc).between(F.col("auc_low") - 1e-12, F.col("auc_high") + 1e-12)
+    return rounded(steps.select("round", "ks", within.alias("auc_within"), "log_loss"), "ks", "log_loss")

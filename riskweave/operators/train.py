@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import time
 import warnings
 from collections.abc import Mapping, Sequence
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.cleaning import as_double, identify_types
 from riskweave.operators.joins import pareto_front
-from riskweave.operators.metrics import head_and_tail_lift, level_table, performance, ranking, score_counts
+from riskweave.operators.metrics import head_and_tail_lift, level_table, performance
 from riskweave.operators.stability import score_psi
+from riskweave.operators.staged import ks_by_round
 from riskweave.session import shared_dir
 from riskweave.spec import MISSING_CODE
 
@@ -150,27 +152,28 @@ def evaluate_fit(scored: DataFrame, label: str = "label", prob: str = PROB, data
     }
 
 
+def _leaf_range(tree) -> tuple[float, float]:
+    """Smallest and largest prediction of a tree, as its description has them."""
+    leaves = [float(x) for x in re.findall(r"Predict: (-?[0-9.]+(?:E-?[0-9]+)?)", tree.toDebugString)]
+    return min(leaves), max(leaves)
+
+
 def staged_ks(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
-    """KS on ``df`` after each boosting round, from the weighted outputs of the single trees."""
+    """KS, bounds of the AUC and log loss on ``df`` after each boosting round, from the weighted outputs of the single trees."""
     *front, booster = model.stages
     rows = prepare(df.filter(F.col(label).isin(0, 1)), features)
     for stage in front:
         rows = stage.transform(rows)
     rows = rows.select(label, "features")
-    outputs = []
+    outputs, ranges, low, high = [], [], 0.0, 0.0
     for i, (tree, weight) in enumerate(zip(booster.trees, booster.treeWeights)):
         tree.setPredictionCol(f"_t{i}")
         rows = tree.transform(rows)
         outputs.append(F.col(f"_t{i}") * float(weight))
-    margins = rows.select(label, F.array(*outputs).alias("parts"))
-    upto = F.transform(
-        F.sequence(F.lit(1), F.size("parts")),
-        lambda k: F.struct(
-            k.alias("round"), F.aggregate(F.slice("parts", 1, k), F.lit(0.0), lambda a, x: a + x).alias("margin")
-        ),
-    )
-    long = margins.select(label, F.inline(upto))
-    return ranking(score_counts(long, "margin", label, ["round"]), ["round"]).select("round", "auc", "ks")
+        ends = sorted(float(weight) * x for x in _leaf_range(tree))
+        low, high = low + ends[0], high + ends[1]
+        ranges.append((low, high))
+    return ks_by_round(rows.select(label, F.array(*outputs).alias("parts")), ranges, label)
 
 
 def best_round(stages: DataFrame) -> DataFrame:
