@@ -2,105 +2,57 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.operators import nullforest
 from riskweave.operators.metrics import auc_ks
 from riskweave.operators.train import feature_stages, prepare, tree_importances
 
 # Size of the forests and the number of shuffled runs.
 TREES, DEPTH, ROW_SHARE, COLUMN_SHARE = 60, 4, 0.6, "0.8"
 NULL_RUNS = 80
-#: Rows of a hash range that one task numbers.
-RANGE_ROWS = 100_000
 
 
-def _assemble(df: DataFrame, features: Sequence[str], label: str, id_col: str) -> DataFrame:
+def _assemble(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     rows = prepare(df.filter(F.col(label).isin(0, 1)), features)
     ready = Pipeline(stages=feature_stages(rows, features)).fit(rows).transform(rows)
-    # Rows of one id differ by their features, so a frequent id spreads over the hash ranges too.
-    row = F.xxhash64(F.col(id_col), vector_to_array("features"), F.col(label)).alias("_row")
-    return ready.select(F.col(id_col).alias("_id"), F.col(label).cast("double").alias("_y"), "features", row)
+    return ready.select(F.col(label).cast("double").alias("_y"), "features")
 
 
-def _fit(rows: DataFrame, features: Sequence[str], name: str, trees: int, seed: int, with_auc: bool) -> DataFrame:
+def _fit(rows: DataFrame, features: Sequence[str], trees: int, seed: int) -> DataFrame:
     model = RandomForestClassifier(
         labelCol="_y", numTrees=trees, maxDepth=DEPTH, subsamplingRate=ROW_SHARE,
         featureSubsetStrategy=COLUMN_SHARE, seed=seed,
     ).fit(rows)
-    table = tree_importances(rows.sparkSession, model, features, name)
-    if with_auc:
-        scored = model.transform(rows).select(F.col("_y").alias("label"), vector_to_array("probability")[1].alias("p"))
-        table = table.withColumn("trn_score", F.lit(auc_ks(scored, "p").first().auc))
-    return table
-
-
-def shuffled_labels(rows: DataFrame, run: int) -> DataFrame:
-    """Labels handed out in a different random order for each run.
-
-    Rows get a place by the hash of id and run, labels a place by another hash;
-    equal places meet. Places are counted per hash range, so no task orders the
-    whole table, and the numbers of good and bad labels stay the same.
-    """
-    bits = max(1, math.ceil(math.log2(max(2, rows.count() / RANGE_ROWS))))
-
-    def numbered(df, salt):
-        hashed = df.withColumn("_h", F.xxhash64("_row", F.lit(f"{salt}-{run}")))
-        # The top bits of a hash cut the rows into even ranges.
-        ranged = hashed.withColumn("_part", F.shiftright("_h", 64 - bits))
-        sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-        # One row for each range.
-        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-        inside = F.row_number().over(Window.partitionBy("_part").orderBy("_h", "_id"))
-        return ranged.withColumn("_in", inside).join(starts, "_part").withColumn(
-            "_place", F.col("_start") + F.col("_in")
-        ).drop("_h", "_part", "_in", "_start")
-
-    left = numbered(rows.select("_id", "_row", "features"), "row")
-    right = numbered(rows.select("_id", "_row", "_y"), "label").select("_place", "_y")
-    return left.join(right, "_place").select("_id", "_y", "features")
+    scored = model.transform(rows).select(F.col("_y").alias("label"), vector_to_array("probability")[1].alias("p"))
+    return tree_importances(rows.sparkSession, model, features, "forest").withColumn("trn_score", F.lit(auc_ks(scored, "p").first().auc))
 
 
 def actual_importance(
     df: DataFrame, features: Sequence[str], label: str = "label", id_col: str = "id", trees: int = TREES, seed: int = 817
 ) -> DataFrame:
     """Gain and split importance of a forest on the real label, with its train AUC."""
-    rows = _assemble(df, features, label, id_col).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _assemble(df, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(rows, features, "forest", trees, seed, True)
+        return _fit(rows, features, trees, seed)
     finally:
         rows.unpersist()
 
 
 def null_importance(
-    df: DataFrame, features: Sequence[str], label: str = "label", id_col: str = "id", nb_runs: int = NULL_RUNS,
-    trees: int = TREES, seed: int = 817, parallelism: int = 2,
+    df: DataFrame, features: Sequence[str], label: str = "label", id_col: str = "id", nb_runs: int = NULL_RUNS, trees: int = TREES, seed: int = 817
 ) -> DataFrame:
-    """Importances of forests on shuffled labels, one block of rows per run."""
-    rows = _assemble(df, features, label, id_col).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(number):
-        table = _fit(shuffled_labels(rows, number), features, f"null-{number}", trees, seed + number, False)
-        return table.withColumn("run", F.lit(number))
-
-    try:
-        with ThreadPool(parallelism) as pool:
-            tables = pool.map(run, range(1, nb_runs + 1))
-    finally:
-        rows.unpersist()
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
+    """Importances of forests on permuted labels: run, feature, importance_split, importance_gain; one job for each level of all trees."""
+    rows = prepare(df.filter(F.col(label).isin(0, 1)), features)
+    ready, design = nullforest.prepared(rows, list(features), label, nb_runs, trees, ROW_SHARE, float(COLUMN_SHARE), seed)
+    return nullforest.importances(df.sparkSession, nullforest.grow(ready, design, DEPTH), design)
 
 
 def null_score(actual: DataFrame, null: DataFrame) -> DataFrame:

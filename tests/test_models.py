@@ -121,16 +121,6 @@ def test_saved_model_scores_the_same(spark, table, tmp_path):
     assert train.score(again, table, features).agg(F.sum("prob_").alias("s")).first().s == pytest.approx(a)
 
 
-def test_shuffled_labels_keep_the_counts_and_differ_by_run(table):
-    rows = importance._assemble(table, ["x1"], "label", "id").cache()
-    real = {r._id: r._y for r in rows.select("_id", "_y").collect()}
-    runs = [{r._id: r._y for r in importance.shuffled_labels(rows, k).select("_id", "_y").collect()} for k in (1, 2)]
-    for shuffled in runs:
-        assert shuffled.keys() == real.keys() and sum(shuffled.values()) == sum(real.values())
-        assert shuffled != real
-    assert runs[0] != runs[1]
-
-
 def test_trial_tiers(spark):
     rows = [
         (0, 0.30, 0.29, 0.01, 2.0, 0.3, 0.0, 0.05),   # all conditions hold
