@@ -5,12 +5,13 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from riskweave.functions.dates import month_of
 from riskweave.operators.clean import check_range, in_range
-from riskweave.session import write_stage
+from riskweave.operators.quantiles import running_totals
 
 HASH_SPACE = 2**32
 
@@ -49,47 +50,95 @@ def _hash32(*parts: Column) -> Column:
 
 
 NO_DATE = 99_999_999
+#: Dates that are listed on the driver, keys that are counted there, and keys drawn to narrow down more. None changes a result.
+DAYS_AT_ONCE, KEYS_AT_ONCE, DRAWN = 100_000, 50_000, 1000
+
+
+def _cut_day(per_day: DataFrame, test_size: float) -> tuple[int, int, int, int] | None:
+    """(date of the cut, its rows, how many of them are dev, rows in all), None where all rows are dev."""
+    listed = per_day.limit(DAYS_AT_ONCE + 1).collect()
+    if len(listed) <= DAYS_AT_ONCE:
+        quota, upto = int(sum(r.rows for r in listed) * (1 - test_size)), 0
+        for r in sorted(listed):
+            if upto + r.rows > quota:
+                return r.day, r.rows, quota - upto, quota
+            upto += r.rows
+        return None
+    quota = int(per_day.agg(F.sum("rows")).first()[0] * (1 - test_size))
+    totals = running_totals(per_day, "day", ["rows"])
+    r = totals.filter((F.col("below_rows") <= quota) & (F.col("below_rows") + F.col("rows") > quota)).first()
+    return None if r is None else (int(r.day), r.rows, quota - r.below_rows, quota)
+
+
+def _order(key: Row) -> tuple:
+    return (key.id is not None, 0 if key.id is None else key.id, key.h1, key.h2)
+
+
+def _literal(key: Row, kind: DataType) -> Column:
+    return F.struct(F.lit(key.id).cast(kind).alias("id"), F.lit(key.h1).cast("bigint").alias("h1"), F.lit(key.h2).cast("bigint").alias("h2"))
+
+
+def _key_at(keys: DataFrame, rank: int, size: int) -> tuple[Row, int, int]:
+    """(key of the ``rank``-th row by (id, h1, h2), rows with that key, how many of these are needed to reach the rank).
+
+    Keys drawn at random name a bracket around the rank and counts say on which
+    side of its ends the rank lies, until few keys are left, which are counted one by one.
+    """
+    kind, here = keys.schema["id"].dataType, F.struct("id", "h1", "h2")
+    turn = 0
+    while size > KEYS_AT_ONCE:
+        drawn = sorted(keys.orderBy(F.xxhash64("h1", "h2", F.lit(turn))).limit(DRAWN).collect(), key=_order)
+        at, margin = rank / size * len(drawn), 3 * len(drawn) ** 0.5
+        low, high = drawn[max(0, int(at - margin))], drawn[min(len(drawn) - 1, int(at + margin))]
+        a, b = _literal(low, kind), _literal(high, kind)
+        n = keys.agg(*[F.count_if(test).alias(name) for name, test in (("la", here < a), ("ea", here <= a), ("lb", here < b), ("eb", here <= b))]).first()
+        if rank <= n.la:
+            keys, size = keys.filter(here < a), n.la
+        elif rank <= n.ea:
+            return low, n.ea - n.la, rank - n.la
+        elif rank <= n.lb:
+            keys, rank, size = keys.filter((here > a) & (here < b)), rank - n.ea, n.lb - n.ea
+        elif rank <= n.eb:
+            return high, n.eb - n.lb, rank - n.lb
+        else:
+            keys, rank, size = keys.filter(here > b), rank - n.eb, size - n.eb
+        turn += 1
+    for key in sorted(keys.groupBy("id", "h1", "h2").agg(F.count(F.lit(1)).alias("rows")).collect(), key=_order):
+        if rank <= key.rows:
+            return key, key.rows, rank
+        rank -= key.rows
+    raise AssertionError("rank beyond the rows")
 
 
 def split_by_date_proportion(df: DataFrame, date_col: str, id_col: str, test_size: float = 0.2) -> DataFrame:
     """The earliest ``floor(n * (1 - test_size))`` rows are dev, the rest oot.
 
     Ties on a date are broken by id, a missing id first, ties on the id by a
-    hash of the row; rows without a date come last. There is no global sort:
-    counts per date name the date of the cut, and the keys of its rows are
-    range-partitioned, so that counts per partition name the one that holds the
-    cut and only its rows are numbered. A frequent id spreads over ranges by the hash.
+    hash of the row; rows without a date come last. There is no sort: counts
+    per date name the date of the cut, and the key of the last dev row on it is selected by
+    counts. Where rows equal in all columns lie on both sides of the cut they are told apart by number alone,
+    so as many as needed are made of one of them.
     """
     day = F.coalesce(F.col(date_col).cast("bigint"), F.lit(NO_DATE))
-    per_day = df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
-    quota = int((per_day.agg(F.sum("rows")).first()[0] or 0) * (1 - test_size))
-    upto = F.sum("rows").over(Window.orderBy("day"))
-    found = per_day.withColumn("upto", upto).filter(F.col("upto") > quota).orderBy("day").select("day", (F.col("upto") - F.col("rows")).alias("before")).first()
+    found = _cut_day(df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("rows")), test_size)
     if found is None:
         return df.withColumn("dataset", F.lit("dev"))
-    left = quota - found.before
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    cut, rows, left, _ = found
     if left == 0:
-        return df.withColumn("dataset", F.when(day < found.day, "dev").otherwise("oot"))
-    keys = df.filter(day == found.day).select(F.col(f"`{id_col}`").alias("id"), row_hash.alias("row_hash"))
-    ranged = write_stage(keys.repartitionByRange("id", "row_hash").withColumn("part", F.spark_partition_id()), "cut_keys")
-    before = 0
-    for part, rows in sorted((r.part, r["count"]) for r in ranged.groupBy("part").count().collect()):
-        if before + rows >= left:
-            break
-        before += rows
-    place = F.row_number().over(Window.orderBy("id", "row_hash"))
-    last = ranged.filter(F.col("part") == part).withColumn("place", place).filter(F.col("place") == left - before).select("id", "row_hash").first()
-    here = F.struct(F.col(f"`{id_col}`").alias("id"), row_hash.alias("row_hash"))
-    end = F.struct(F.lit(last.id).cast(df.schema[id_col].dataType).alias("id"), F.lit(last.row_hash).cast("bigint").alias("row_hash"))
-    # Wholly equal rows at the cut are told apart by number alone.
-    same = (ranged.filter((F.struct("id", "row_hash") <= end)).count() - left, (day == found.day) & (here == end))
-    marked = df.withColumn("dataset", F.when((day < found.day) | ((day == found.day) & (here <= end)), "dev").otherwise("oot"))
-    if same[0] == 0:
+        return df.withColumn("dataset", F.when(day < cut, "dev").otherwise("oot"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    # Which values are missing is part of the hash, or a value and a null in exchanged columns would hash alike.
+    hashed = [F.xxhash64(F.lit(salt), *columns, *[c.isNull() for c in columns]).alias(f"h{salt}") for salt in (1, 2)]
+    last, equal, wanted = _key_at(df.filter(day == cut).select(F.col(f"`{id_col}`").alias("id"), *hashed), left, rows)
+    here, end = F.struct(F.col(f"`{id_col}`").alias("id"), *hashed), _literal(last, df.schema[id_col].dataType)
+    marked = df.withColumn("dataset", F.when((day < cut) | ((day == cut) & (here <= end)), "dev").otherwise("oot"))
+    if equal == wanted:
         return marked
-    numbered = marked.filter(same[1]).withColumn("_place", F.row_number().over(Window.orderBy(F.lit(0))))
-    moved = numbered.withColumn("dataset", F.when(F.col("_place") <= same[0], "oot").otherwise("dev")).drop("_place")
-    return marked.filter(~same[1]).unionByName(moved)
+    same = (day == cut) & (here == end)
+    number = df.sparkSession.range(equal).withColumnRenamed("id", "_number")
+    one = F.broadcast(df.filter(same).limit(1))
+    copies = number.crossJoin(one).withColumn("dataset", F.when(F.col("_number") < wanted, "dev").otherwise("oot")).drop("_number")
+    return marked.filter(~same).unionByName(copies)
 
 
 def split_by_hash(df: DataFrame, id_col: str, test_size: float = 0.2, random_state: int = 42) -> DataFrame:

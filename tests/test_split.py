@@ -47,6 +47,21 @@ def test_text_ids(spark):
     assert sorted(got[got.dataset == "dev"].id) == [f"k{i:04d}" for i in range(65)]
 
 
+@pytest.mark.parametrize("days, keys, drawn", [(100_000, 10, 7), (2, 1, 40), (100_000, 0, 3)])
+def test_selection_by_brackets_finds_the_same_rows(spark, monkeypatch, days, keys, drawn):
+    rows = [(None if i % 11 == 0 else i % 40, 20240101 + i % 3, None if i % 2 else 5, 5 if i % 2 else None) for i in range(300)] + [(7, 20240102, 1, 1)] * 60
+    df = spark.createDataFrame(rows, "id bigint, date bigint, v bigint, w bigint").repartition(4)
+    shares = (0.2, 0.45, 0.5, 0.55, 0.6)
+    want = [sorted(map(repr, split.split_by_date_proportion(df, "date", "id", s).collect())) for s in shares]
+    monkeypatch.setattr(split, "DAYS_AT_ONCE", days)
+    monkeypatch.setattr(split, "KEYS_AT_ONCE", keys)
+    monkeypatch.setattr(split, "DRAWN", drawn)
+    for share, rows_ in zip(shares, want, strict=True):
+        got = split.split_by_date_proportion(df, "date", "id", share)
+        assert sorted(map(repr, got.collect())) == rows_ and got.filter("dataset = 'dev'").count() == int(360 * (1 - share))
+        assert sorted(map(repr, got.drop("dataset").collect())) == sorted(map(repr, df.collect()))
+
+
 def test_hash_split_does_not_depend_on_partitioning(spark):
     df = frame(spark)
     a = split.split_by_hash(df, "id").filter("dataset = 'oot'").select("id").toPandas().id
