@@ -289,3 +289,17 @@ def rule_learner_resamples(spark, sf_dir):
     """Five resamples with a full run's settings; the learner is compared with brute force in the tests."""
     rows = demo.risk_samples(spark, sf_dir, "id", "label", "sig", "nation", "channel", "n_lines")
     return rules.rule_learner(rows, {n: F.expr(e) for n, e in CONDITIONS.items()}, threshold_lift=1.05)
+
+
+TESTED = ("amt", "nation", "sum_qty", "sig")
+
+
+@query("entry_tests", with_risk(
+    f"d AS (SELECT * FROM risk_samples WHERE label IN (0, 1) AND {' AND '.join(f'{f} IS NOT NULL' for f in TESTED)})",
+    "x AS (" + union(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, label FROM d" for f in TESTED) + ")",
+    "c AS (SELECT *, v - avg(v) OVER w AS z, avg(label) OVER w AS rate FROM x WINDOW w AS (PARTITION BY feature))",
+    body="SELECT feature, round(sum(z * (label - rate)) ^ 2 / (sum(z * z) * any_value(rate) * (1 - any_value(rate))), 6) AS chi_square FROM c GROUP BY 1"))
+def entry_tests(spark, sf_dir):
+    """Score statistics of the first step of the stepwise selection."""
+    rows = demo.risk_samples(spark, sf_dir, "label", *TESTED)
+    return rounded(regression.entry_tests(rows, list(TESTED)).drop("p_value"), "chi_square", digits=6)
