@@ -258,3 +258,15 @@ FROM f WHERE is_pareto_front ORDER BY CASE WHEN {ALL_OK} THEN 0 WHEN {HARD} THEN
 def trial_choice(spark, sf_dir):
     trials = train.summarise_trials(segment_trials(spark, sf_dir), ks_threshold_min=0.1, ks_gap_threshold=0.05)
     return train.choose_trial(trials).select("trial", "ks_test", "status")
+
+
+@query("evaluator_folds", with_scored(
+    "c AS (SELECT id % 3 AS fold, prob_ AS s, count(*) FILTER (label = 0) AS g, count(*) FILTER (label = 1) AS b FROM scored GROUP BY 1, 2)",
+    "r AS (SELECT fold, sum(g) OVER w AS cg, sum(b) OVER w AS cb, sum(g) OVER (PARTITION BY fold) AS tg, sum(b) OVER (PARTITION BY fold) AS tb FROM c WINDOW w AS (PARTITION BY fold ORDER BY s ROWS UNBOUNDED PRECEDING))",
+    body=f"SELECT CAST(fold AS INT) AS fold, round({KS}, 8) AS ks, true AS larger_is_better FROM r GROUP BY fold"))
+def evaluator_folds(spark, sf_dir):
+    """KS of the Spark ML evaluator on the folds that a cross validation would use."""
+    rows = demo.scored(spark, sf_dir).withColumn("fold", (F.col("id") % 3).cast("int"))
+    judge = metrics.KSEvaluator()
+    found = [(k, round(judge.evaluate(rows.filter(F.col("fold") == k)), 8), judge.isLargerBetter()) for k in range(3)]
+    return spark.createDataFrame(found, "fold int, ks double, larger_is_better boolean")

@@ -271,3 +271,18 @@ def stage_evaluate(spark, sf_dir):
     rows = three_samples(spark, sf_dir)
     model = train.fit_boosting(rows.filter("dataset = 'dev'"), MODEL_FEATURES, SMALL)
     return stages.evaluate_stage(rows, model, MODEL_FEATURES, EvalSettings(run_retrain=False), params=SMALL)["model_effect"]
+
+
+@query("json_roundtrip", with_risk(body="""
+SELECT channel AS name, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (label = 1) AS BIGINT) AS bad, [min(date), max(date)] AS range,
+  CAST(count(*) FILTER (label = 1) AS VARCHAR) AS bad_text FROM risk_samples GROUP BY 1"""))
+def json_roundtrip(spark, sf_dir):
+    """Nested results written as JSON lines and read again with their schema; a field is also read from the raw line."""
+    rows = demo.risk_samples(spark, sf_dir, "channel", "label", "date")
+    made = rows.groupBy(F.col("channel").alias("name")).agg(
+        F.count(F.lit(1)).alias("total"), F.struct(F.count_if(F.col("label") == 1).alias("bad"), F.array(F.min("date"), F.max("date")).alias("range")).alias("detail")
+    )
+    path = samples.write_table(made, fresh_path(spark, "result") + ".json")
+    again = samples.read_samples(spark, path, ["name"], schema=made.schema)
+    raw = spark.read.text(path).select(F.get_json_object("value", "$.name").alias("name"), F.get_json_object("value", "$.detail.bad").alias("bad_text"))
+    return again.select("name", "total", "detail.bad", "detail.range").join(raw, "name")

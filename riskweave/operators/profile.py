@@ -161,10 +161,21 @@ def concentration(df: DataFrame, features: Sequence[str], missing_list: Sequence
 
 
 def dominated_columns(df: DataFrame, features: Sequence[str], share: float = 0.9) -> DataFrame:
-    """Features whose most frequent value, NULL included, exceeds a share of the rows."""
-    counts = value_counts(df, features)
-    stats = counts.groupBy("feature").agg(F.max("cnt").alias("freq"), F.sum("cnt").alias("n"))
-    return stats.withColumn("freq_ratio", F.col("freq") / F.col("n")).filter(F.col("freq_ratio") > share)
+    """Features whose most frequent value, NULL included, exceeds a share of the rows.
+
+    Of half the rows or more, a value is the median in any order. So the median of the
+    values' hashes, from a bounded sketch, names the only candidate, and a second pass counts it; no
+    value is shuffled. A smaller share takes the counts of all values.
+    """
+    if share < 0.5:
+        counts = value_counts(df, features)
+        stats = counts.groupBy("feature").agg(F.max("cnt").alias("freq"), F.sum("cnt").alias("n"))
+        return stats.withColumn("freq_ratio", F.col("freq") / F.col("n")).filter(F.col("freq_ratio") > share)
+    zero = {f: " + 0.0D" if type_name(df, f) == "numeric" else "" for f in features}  # minus zero is zero
+    hashed = {f: f"shiftright(xxhash64({known_sql(df, f, ())}{zero[f]}), 12)" for f in features}  # 52 bits: the sketch works on doubles
+    medians = {r.feature: r.median for r in _per_feature(df, features, lambda f: [("median", f"percentile_approx({hashed[f]}, 0.5D, 1000)")]).collect()}
+    counts = _per_feature(df, features, lambda f: [("freq", f"count_if({hashed[f]} = {medians[f] or 0}L)"), ("n", "count(1)")])
+    return counts.withColumn("freq_ratio", F.try_divide("freq", "n")).filter(F.col("freq_ratio") > share)
 
 
 def duplicate_ids(df: DataFrame, id_col: str = "id") -> DataFrame:
