@@ -152,9 +152,6 @@ def test_components(spark):
 
 def test_large_sets_are_broadcast_and_others_joined(spark, documents_of):
     """Copies are named alike however many sets are broadcast."""
-    from pyspark.sql import functions as F
-
-    from riskweave.llm.staging import Staged
 
     rows = spark.range(200).select(F.col("id"), (F.col("id") % 7).alias("n_shingles"), F.when(F.col("id") % 50 != 3, F.pmod("id", F.lit(13))).alias("set_a"), F.lit(1).cast("long").alias("set_b"))
     copies = rows.where("set_a IS NOT NULL").groupBy("set_a", "set_b").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
